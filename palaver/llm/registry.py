@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from palaver.llm.blocks import documents
 
@@ -21,9 +22,36 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def vocabulary() -> tuple[str, str]:
+    """The rank file and the split pattern that the queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from palaver.llm.bpe import decode, encode
+
+    both = decode(encode(documents(spark, sf_dir).select("doc_id", "text"), *vocabulary()), *vocabulary())
+    n = F.floor(F.octet_length("ids") / 4).cast("long")
+    return both.select("doc_id", n.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document before and after three edits, from its tree."""
+    from palaver.llm.token_counts import apply_edits, build, three_edits
+
+    trees = build(three_edits(documents(spark, sf_dir).select("doc_id", "text")), *vocabulary())
+    done = apply_edits(trees, *vocabulary())
+    n = F.size("leaf_tokens").cast("long")
+    return done.select("doc_id", "n_before", "n_after", n.alias("n_pretokens"), "n_encoded", F.sha2(F.encode("text", "UTF-8"), 256).alias("edited_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op6_source_mixing": op6_source_mixing,
+    "op7_byte_bpe": op7_byte_bpe,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLE: dict[str, str] = {
