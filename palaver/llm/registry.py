@@ -37,6 +37,13 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("doc_id", n.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from palaver.llm.quality_rules import judge
+
+    judged = judge(documents(spark, sf_dir))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "bits", "low", "high")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every document before and after three edits, from its tree."""
     from palaver.llm.token_counts import apply_edits, build, three_edits
@@ -51,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op6_source_mixing": op6_source_mixing,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_quality_rules": op8_quality_rules,
     "op10_token_counts": op10_token_counts,
 }
 
