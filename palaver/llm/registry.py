@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from palaver.llm.blocks import documents
 
 
+def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from palaver.llm.pu_quality import classify
+
+    return classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from palaver.llm.line_dedup import line_report
 
@@ -55,6 +61,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pu_quality": op1_pu_quality,
     "op2_line_dedup": op2_line_dedup,
     "op6_source_mixing": op6_source_mixing,
     "op7_byte_bpe": op7_byte_bpe,
