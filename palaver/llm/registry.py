@@ -22,6 +22,12 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(documents(spark, sf_dir), min_chars=40, min_docs=5)
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from palaver.llm.fingerprints import with_neighbours
+
+    return with_neighbours(documents(spark, sf_dir))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from palaver.llm.mixing import mix
 
@@ -63,6 +69,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pu_quality": op1_pu_quality,
     "op2_line_dedup": op2_line_dedup,
+    "op4_fingerprints": op4_fingerprints,
     "op6_source_mixing": op6_source_mixing,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
