@@ -28,6 +28,12 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_neighbours(documents(spark, sf_dir))
 
 
+def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from palaver.llm.near_dup import classes
+
+    return classes(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links")
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from palaver.llm.mixing import mix
 
@@ -70,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pu_quality": op1_pu_quality,
     "op2_line_dedup": op2_line_dedup,
     "op4_fingerprints": op4_fingerprints,
+    "op5_near_dup": op5_near_dup,
     "op6_source_mixing": op6_source_mixing,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
