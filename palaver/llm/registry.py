@@ -62,6 +62,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "bits", "low", "high")
 
 
+def op9_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from palaver.llm.backoff import scores
+
+    return scores(documents(spark, sf_dir)).select("doc_id", "n_chars", F.round("score", 6).alias("score"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every document before and after three edits, from its tree."""
     from palaver.llm.token_counts import apply_edits, build, three_edits
@@ -80,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_source_mixing": op6_source_mixing,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
+    "op9_backoff_scores": op9_backoff_scores,
     "op10_token_counts": op10_token_counts,
 }
 
