@@ -22,6 +22,15 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(documents(spark, sf_dir), min_chars=40, min_docs=5)
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from palaver.llm.repeats import remove_repeats
+
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    cut = remove_repeats(documents(spark, sf_dir)).select("doc_id", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), "kept")
+    n_bytes = (F.octet_length("kept") + F.col("n_removed")).cast("long")
+    return cut.select("doc_id", n_bytes.alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from palaver.llm.fingerprints import with_neighbours
 
@@ -81,6 +90,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pu_quality": op1_pu_quality,
     "op2_line_dedup": op2_line_dedup,
+    "op3_repeats": op3_repeats,
     "op4_fingerprints": op4_fingerprints,
     "op5_near_dup": op5_near_dup,
     "op6_source_mixing": op6_source_mixing,
