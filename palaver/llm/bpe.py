@@ -16,6 +16,7 @@ encoded alone, so ties and repeated rows need no rule.
 from __future__ import annotations
 
 import base64
+import struct
 from collections.abc import Iterable, Iterator
 
 import ahocorasick
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 
 from palaver.llm.blocks import texts_of
 
-#: Distinct pre-tokens that a worker remembers before it starts anew.
+#: Distinct pre-tokens in each of the two generations that a worker remembers.
 REMEMBERED = 300_000
 #: Texts go on in slices of about so many characters.
 SLICE = 1 << 21
@@ -53,7 +54,10 @@ class Bpe(dict):
         self.token = {i: b for b, i in ranks.items()}
         # White space as Unicode defines it; the engine's own \s has four control characters more.
         self.split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
+        self.older: dict[str, bytes] = {}
         self.compatible: dict[tuple[int, int], bool] = {}
+        self.halves: dict[int, tuple[int, int] | None] = {}
+        self.edges: dict[int, list[tuple[bytes, int]]] = {}
         self.shorter: dict[int, int] = {}
         self.automaton = ahocorasick.Automaton()
         for b, i in ranks.items():
@@ -77,14 +81,44 @@ class Bpe(dict):
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         return [self.ranks[p] for p in parts]
 
+    def parts(self, t: int) -> tuple[int, int] | None:
+        """The two tokens whose merge makes token t; None for a single byte."""
+        if t not in self.halves:
+            b = self.token[t]
+            parts = [b[i : i + 1] for i in range(len(b))]
+            while len(parts) > 2:
+                _, i = min((self.ranks.get(parts[i] + parts[i + 1], 1 << 40), i) for i in range(len(parts) - 1))
+                parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            self.halves[t] = (self.ranks[parts[0]], self.ranks[parts[1]]) if len(parts) == 2 else None
+        return self.halves[t]
+
+    def _edge(self, t: int, side: int) -> list[tuple[bytes, int]]:
+        """The tokens on one edge of t's merge tree, each with the rank of the merge that ends it."""
+        key = 2 * t + side
+        if key not in self.edges:
+            out, until = [], 1 << 40
+            while True:
+                out.append((self.token[t], until))
+                halves = self.parts(t)
+                if halves is None:
+                    break
+                t, until = halves[side], t
+            self.edges[key] = out
+        return self.edges[key]
+
     def fits(self, a: int, b: int) -> bool:
-        key = (a, b)
-        known = self.compatible.get(key)
-        if known is None:
-            if len(self.compatible) > 4 * REMEMBERED:
-                self.compatible.clear()
-            known = self.compatible[key] = self.merged(self.token[a] + self.token[b]) == [a, b]
-        return known
+        """Whether merging the bytes of both tokens gives the two back.
+
+        It does not if an edge token of each would merge across the boundary
+        while both exist; of two equal merges the left one comes first.
+        """
+        rank = self.ranks.get
+        for y, y_until in self._edge(b, 0):
+            for x, x_until in self._edge(a, 1):
+                r = rank(x + y)
+                if r is not None and r < x_until and r <= y_until:
+                    return False
+        return True
 
     def next_shorter(self, t: int) -> int:
         """The longest token that is a proper prefix of token t; -1 if there is none."""
@@ -99,40 +133,56 @@ class Bpe(dict):
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        mapped = piece.decode("latin-1")
-        ids = [t for _, t in self.automaton.iter_long(mapped)]
-        fits = self.fits
-        if all(fits(a, b) for a, b in zip(ids, ids[1:])):
-            return ids
-        longest = [-1] * len(piece)
-        token = self.token
-        for end, t in self.automaton.iter(mapped):
-            longest[end + 1 - len(token[t])] = t  # ends ascend: the last is the longest
-        return self._backtrack(len(piece), longest)
-
-    def _backtrack(self, n: int, longest: list[int]) -> list[int]:
-        alive = bytearray(b"\x01") * (n + 1)
+        mapped, n = piece.decode("latin-1"), len(piece)
+        longest, token, known = self.automaton.iter_long, self.token, self.compatible
         ids: list[int] = []
-        at, t = 0, longest[0]
+        dead: set[int] = set()
+        at = 0
         while True:
-            while t >= 0 and not (alive[at + len(self.token[t])] and (not ids or self.fits(ids[-1], t))):
-                t = self.next_shorter(t)
-            if t >= 0:
+            # Longest matches from here on, as far as neighbours fit and no dead end is met.
+            for _, t in longest(mapped, at):
+                if ids:
+                    key = (ids[-1], t)
+                    fits = known.get(key)
+                    if fits is None:
+                        fits = known[key] = self.fits(*key)
+                    if not fits:
+                        break
+                if dead and at + len(token[t]) in dead:
+                    break
                 ids.append(t)
-                at += len(self.token[t])
-                if at == n:
-                    return ids
-                t = longest[at]
-            else:
-                alive[at] = 0
-                t = ids.pop()
-                at -= len(self.token[t])
+                at += len(token[t])
+            if at == n:
+                return ids
+            # Shorter tokens at this place; without any it is dead, and the last token goes.
+            while True:
                 t = self.next_shorter(t)
+                if t < 0:
+                    dead.add(at)
+                    t = ids.pop()
+                    at -= len(token[t])
+                elif at + len(token[t]) not in dead and (not ids or self._known(ids[-1], t)):
+                    ids.append(t)
+                    at += len(token[t])
+                    break
+
+    def _known(self, a: int, b: int) -> bool:
+        key = (a, b)
+        fits = self.compatible.get(key)
+        if fits is None:
+            fits = self.compatible[key] = self.fits(a, b)
+        return fits
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) > REMEMBERED:
+        if len(self) >= REMEMBERED:
+            self.older = dict(self)
             self.clear()
-        ids = np.array(self.encode_piece(piece.encode("utf-8", "replace")), dtype="<u4").tobytes()
+            if len(self.compatible) > 4 * REMEMBERED:
+                self.compatible.clear()
+        ids = self.older.get(piece)
+        if ids is None:
+            found = self.encode_piece(piece.encode("utf-8", "replace"))
+            ids = struct.pack(f"<{len(found)}I", *found)
         if len(piece) <= 64:
             self[piece] = ids
         return ids

@@ -34,7 +34,7 @@ REACH = 3  # code points beyond its end that a pre-token's match may look at
 class TokenTree:
     """Runs of leaves under two segment trees, of code points and of tokens."""
 
-    def __init__(self, text: str, chars: list[int], tokens: list[int], bpe: Bpe):
+    def __init__(self, text: str, chars: np.ndarray, tokens: np.ndarray, bpe: Bpe):
         self.bpe = bpe
         self._set(text, chars, tokens)
 
@@ -43,21 +43,26 @@ class TokenTree:
         pieces = bpe.split(text)
         return cls(text, [len(p) for p in pieces], [len(bpe[p]) // 4 for p in pieces], bpe)
 
-    def _set(self, text: str, chars: list[int], tokens: list[int]) -> None:
+    def _set(self, text: str, chars, tokens) -> None:
+        """Runs as [text, leaf lengths, leaf tokens]; arrays until an edit touches the run."""
+        chars, tokens = np.asarray(chars, dtype=np.int32), np.asarray(tokens, dtype=np.int32)
+        first = range(0, max(1, len(chars)), RUN)
+        if len(chars):
+            sizes = np.add.reduceat(chars, first, dtype=np.int64).tolist(), np.add.reduceat(tokens, first, dtype=np.int64).tolist()
+        else:
+            sizes = [0], [0]
         self.runs: list[list] = []
         at = 0
-        for i in range(0, max(1, len(chars)), RUN):
-            own = chars[i : i + RUN]
-            n = sum(own)
-            self.runs.append([text[at : at + n], own, tokens[i : i + RUN]])
+        for i, n in zip(first, sizes[0], strict=True):
+            self.runs.append([text[at : at + n], chars[i : i + RUN], tokens[i : i + RUN]])
             at += n
         self.width = 1 << (len(self.runs) - 1).bit_length()
-        self.sums = [[0] * (2 * self.width) for _ in range(2)]
-        for i, (own, _, t) in enumerate(self.runs):
-            self.sums[0][self.width + i], self.sums[1][self.width + i] = len(own), sum(t)
-        for s in self.sums:
+        self.sums = []
+        for own in sizes:
+            s = [0] * self.width + own + [0] * (self.width - len(own))
             for i in range(self.width - 1, 0, -1):
                 s[i] = s[2 * i] + s[2 * i + 1]
+            self.sums.append(s)
 
     @property
     def length(self) -> int:
@@ -70,8 +75,15 @@ class TokenTree:
     def text(self) -> str:
         return "".join(r[0] for r in self.runs)
 
-    def leaves(self) -> tuple[list[int], list[int]]:
-        return [c for r in self.runs for c in r[1]], [t for r in self.runs for t in r[2]]
+    def leaves(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate([r[1] for r in self.runs]).astype(np.int32), np.concatenate([r[2] for r in self.runs]).astype(np.int32)
+
+    def _open(self, run: int) -> list:
+        """A run with plain lists, to be walked or changed."""
+        r = self.runs[run]
+        if isinstance(r[1], np.ndarray):
+            r[1], r[2] = r[1].tolist(), r[2].tolist()
+        return r
 
     def _find(self, at: int) -> tuple[int, int]:
         """The run that holds code point ``at``, and where the run begins."""
@@ -99,7 +111,7 @@ class TokenTree:
         first, begin = self._find(max(0, start - REACH))
         # The last boundary that no match before the edit can have looked past.
         at, keep = begin, 0
-        for c in self.runs[first][1]:
+        for c in self._open(first)[1]:
             if at + c > start - REACH:
                 break
             at += c
@@ -115,7 +127,7 @@ class TokenTree:
             while last + 1 < len(self.runs) and (at + len(old) < stop + 64 * step):
                 last += 1
                 old += self.runs[last][0]
-                for c in self.runs[last][1]:
+                for c in self._open(last)[1]:
                     place += c
                     bounds.add(place)
             ended = last + 1 == len(self.runs)
@@ -197,22 +209,29 @@ def apply_edits(trees: DataFrame, path: str, pattern: str) -> DataFrame:
             texts = texts_of(batch["text"])
             for a in range(0, batch.num_rows, 500):
                 part = batch.slice(a, 500)
-                out = {n: [] for n in ("text", "leaf_chars", "leaf_tokens", *made)}
-                for text, chars, tokens, edits in zip(texts.slice(a, 500).to_pylist(), part["leaf_chars"].to_pylist(), part["leaf_tokens"].to_pylist(), part["edits"].to_pylist(), strict=True):
-                    tree = TokenTree(text, chars, tokens, bpe)
-                    out["n_before"].append(tree.count)
-                    encoded = 0
+                n = part.num_rows
+                made_here = {k: np.zeros(n, dtype=np.int64) for k in made}
+                new_texts, leaves, ends = [], ([], []), [0]
+                stored = part["leaf_chars"], part["leaf_tokens"]
+                flat = [x.values.to_numpy() for x in stored]
+                at = np.asarray(stored[0].offsets)
+                if not np.array_equal(at, np.asarray(stored[1].offsets)):
+                    raise ValueError("leaf_chars and leaf_tokens do not belong together")
+                for i, (text, edits) in enumerate(zip(texts.slice(a, 500).to_pylist(), part["edits"].to_pylist(), strict=True)):
+                    tree = TokenTree(text, flat[0][at[i] : at[i + 1]], flat[1][at[i] : at[i + 1]], bpe)
+                    made_here["n_before"][i] = tree.count
                     for e in edits or ():
                         if e is not None:
-                            encoded += tree.edit(e["start"] or 0, e["stop"] or 0, e["replacement"] or "")
-                    out["n_after"].append(tree.count)
-                    out["n_encoded"].append(encoded)
-                    out["text"].append(tree.text())
-                    chars, tokens = tree.leaves()
-                    out["leaf_chars"].append(chars)
-                    out["leaf_tokens"].append(tokens)
-                kinds = {"text": pa.string(), "leaf_chars": kind, "leaf_tokens": kind}
-                yield pa.record_batch([pa.array(out[n], kinds.get(n, pa.int64())) if n in out else part[n] for n in names], names=names)
+                            made_here["n_encoded"][i] += tree.edit(e["start"] or 0, e["stop"] or 0, e["replacement"] or "")
+                    made_here["n_after"][i] = tree.count
+                    new_texts.append(tree.text())
+                    for own, x in zip(leaves, tree.leaves(), strict=True):
+                        own.append(x)
+                    ends.append(ends[-1] + len(leaves[0][-1]))
+                out = {k: pa.array(x) for k, x in made_here.items()} | {"text": pa.array(new_texts, pa.string())}
+                for k, own in zip(("leaf_chars", "leaf_tokens"), leaves, strict=True):
+                    out[k] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(own))).cast(kind)
+                yield pa.record_batch([out[k] if k in out else part[k] for k in names], names=names)
 
     return trees.mapInArrow(run, T.StructType(fields))
 
