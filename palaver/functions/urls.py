@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from palaver.functions.text import let
+
 
 def image_url(x: Column) -> Column:
     """An embedded image's URL: no quotes, no fragment, a scheme; null unless http(s)."""
@@ -55,8 +57,11 @@ def query_map(x: Column) -> Column:
     query = F.replace(F.regexp_extract(x, r"\?([^#]*)", 1), F.lit("&amp;"), F.lit("&"))
     pairs = F.filter(F.split(query, "&"), lambda p: p.contains("="))
     entries = F.transform(pairs, lambda p: F.struct(F.lower(F.substring_index(p, "=", 1)).alias("key"), F.regexp_extract(p, r"=(.*)$", 1).alias("value")))
-    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]))
-    return F.map_from_entries(last)
+
+    def last(every: Column) -> Column:
+        return F.filter(every, lambda e, i: ~F.exists(F.slice(every, i + 2, F.size(every)), lambda later: later["key"] == e["key"]))
+
+    return F.map_from_entries(let(entries, last))
 
 
 def query_hash(query: Column) -> Column:

@@ -126,7 +126,7 @@ def _(b: Board):
     return b.pages.select("page_id", urls.host_of(u).alias("host"), urls.site_of(u).alias("site"), urls.file_name(u).alias("file"), urls.folder_of(u).alias("folder"))
 
 
-@query("x33_capture_key", "", r"SELECT page_id, regexp_replace(lower(url), '^https?://(www\\.)?', '') AS key FROM pages")
+@query("x33_capture_key", "", r"SELECT page_id, regexp_replace(lower(url), '^https?://(www\.)?', '') AS key FROM pages")
 def _(b: Board):
     odd = F.when(F.col("page_id") % 2 == 0, F.upper("url")).otherwise(F.regexp_replace("url", "^(https?://[^/]+)", "$1:80"))
     return b.pages.select("page_id", urls.capture_key(odd).alias("key"))
