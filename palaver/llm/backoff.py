@@ -84,21 +84,33 @@ def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(np.full(len(own), part, dtype=np.int32)), pa.array(own.view(np.int64)), pa.array(n[a : a + 200_000].astype(np.int32))], names=["part", "gram", "n"])
 
 
-def _own_counts(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """How often each position's n-gram occurs in its own document."""
-    key = mix(h ^ mix(doc.astype(np.uint64) + _STEP))
+def _others(h: np.ndarray, doc: np.ndarray, table: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """At each position the count of its n-gram in other documents; one sort by hash gives all.
+
+    Positions sort by hash, and so by document within a hash; the sorted distinct
+    hashes walk through the sorted table.
+    """
     n = len(h)
+    order = None
     if n <= 1 << 20:
-        packed = np.sort((key & ~_LOW) | np.arange(n, dtype=np.uint64))
+        packed = np.sort((h & ~_LOW) | np.arange(n, dtype=np.uint64))
         order = (packed & _LOW).astype(np.int64)
-        group = packed >> np.uint64(20)
-    else:
-        order = np.argsort(key)
-        group = key[order]
-    first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-    size = np.diff(np.append(first, n))
+        s = h[order]
+        if ((s[1:] ^ s[:-1]) & ~_LOW == 0)[s[1:] != s[:-1]].any():  # hashes that differ in low bits only
+            order = None
+    if order is None:
+        order = np.argsort(h, kind="stable")
+        s = h[order]
+    d = doc[order]
+    first = np.concatenate([[True], s[1:] != s[:-1]])
+    distinct = s[first]
+    at = np.minimum(np.searchsorted(table, distinct), len(table) - 1)
+    total = np.where((table[at] == distinct) & (distinct != 0), count[at], 0)
+    group = np.flatnonzero(first | np.concatenate([[True], d[1:] != d[:-1]]))
+    own = np.diff(np.append(group, n))
+    left = np.maximum(total[np.cumsum(first)[group] - 1] - own, 0)
     out = np.empty(n, dtype=np.int64)
-    out[order] = np.repeat(size, size)
+    out[order] = np.repeat(left, own)
     return out
 
 
@@ -109,21 +121,14 @@ def score_block(b: Block, table: np.ndarray, count: np.ndarray, total: int) -> t
     if not size:
         return np.zeros(b.n), n
     doc = np.repeat(np.arange(b.n), n)
-    own = [_own_counts(h, doc) for h in hashes]
-
-    def others(k: int, at: np.ndarray) -> np.ndarray:
-        """Counts in other documents of the order k + 1 n-grams that end at ``at``."""
-        h = hashes[k][at]
-        i = np.minimum(np.searchsorted(table, h), len(table) - 1)
-        return np.where((table[i] == h) & (h != 0), count[i] - own[k][at], 0)
-
+    others = [_others(h, doc, table, count) for h in hashes]
     log = np.full(size, np.nan)
     left = np.arange(size)
     for k in range(ORDER - 1, -1, -1):
-        c = others(k, left)
+        c = others[k][left]
         hit = c > 0
         at = left[hit]
-        below = others(k - 1, at - 1) if k else total - n[doc[at]]
+        below = others[k - 1][at - 1] if k else total - n[doc[at]]
         log[at] = np.log(c[hit] / np.maximum(below, c[hit])) + (ORDER - 1 - k) * np.log(ALPHA)
         left = left[~hit]
     log[left] = ORDER * np.log(ALPHA) - np.log(max(total, 1))
