@@ -67,7 +67,7 @@ def flatten_tree(spark: SparkSession, answers: DataFrame, column: str = "tree",
     for _ in range(depth):
         rows = level.filter("f.id is not null")
         found.append(rows.select("f.id", "parent_id", "f.name"))
-        level = rows.select(F.col("f.id").alias("parent_id"), F.from_json(F.explode("f.child"), kind).alias("f"))
+        level = rows.select(F.col("f.id").alias("parent_id"), F.explode("f.child").alias("c")).select("parent_id", F.from_json("c", kind).alias("f"))
         if level.isEmpty():
             break
     out = found[0]
