@@ -57,6 +57,16 @@ LENS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM {orders} WHERE o_orderkey % 4 <> 3
         UNION ALL
         SELECT o_orderkey + 10000000, 'lost', o_orderdate, FALSE, FALSE FROM {orders} WHERE o_orderkey % 50 = 1"""),
+    "markup_posts": (("pages",), """
+        SELECT page_id AS id, CAST(page_id % 20 AS BIGINT) AS topic_id, html AS content,
+               CASE WHEN page_id % 6 <> 0 THEN concat('see [img]', url, '[/img] and [IMG] http://smile.example/', CAST(page_id % 5 AS STRING), '.gif [/IMG] [img]http://smile.example/',
+                    CAST(page_id % 3 AS STRING), '.gif[/img] [quote=Al]x[/quote]') END AS source,
+               CASE WHEN page_id % 4 = 0 THEN concat('[img]http://smile.example/', CAST(page_id % 7 AS STRING), '.gif[/img] fixed') END AS source_fixed
+        FROM {pages}"""),
+    "signatures": (("customer",), """
+        SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN '' WHEN c_custkey % 3 = 1 THEN concat('[img]http://sig.example/', CAST(c_custkey % 9 AS STRING), '.png[/img]') END AS signature_fixed,
+               CASE WHEN c_custkey % 4 = 0 THEN c_mktsegment END AS signature_source, CASE WHEN c_custkey % 5 = 0 THEN c_name ELSE '' END AS signature
+        FROM {customer}"""),
     "quoting": (("benchmark", "customer", "orders"), """
         SELECT b.item_id AS post_id, CAST(b.item_id % 100 AS BIGINT) AS topic_id, c.c_name AS author, o.o_orderdate AS quoted_at,
                concat('[quote="', c.c_name, '" date="', CAST(o.o_orderdate AS STRING), '"]', b.text, '[/quote] I agree [b]fully[/b] [sarcasm] &amp; <br> [size=100]x[/size]') AS source, b.text AS body
