@@ -39,3 +39,25 @@ def read_posts(spark: SparkSession, folder: str) -> DataFrame:
 def seed_users(listings: DataFrame) -> DataFrame:
     """id, name of all authors seen; the last name wins, ids of 0 are guests."""
     return listings.filter("user_id > 0").groupBy(F.col("user_id").alias("id")).agg(F.max_by("user_name", "seen").alias("name"))
+
+
+def read_members(spark: SparkSession, folder: str) -> DataFrame:
+    """Members of paged lists, which come as maps from a number to a member; each id once."""
+    member = "struct<user_id:bigint,username:string,post_count:bigint,reg_time:string>"
+    raw = spark.read.schema(f"page int, members map<string,{member}>").json(folder)
+    each = raw.select("page", F.explode(F.map_values("members")).alias("m"))
+    return each.filter("m.user_id > 0").groupBy(F.col("m.user_id").alias("id")).agg(F.max_by("m.username", "page").alias("name"), F.max("m.post_count").alias("post_count"))
+
+
+def split_quotes(answers: DataFrame) -> DataFrame:
+    """post_id, source of answers that quote several posts in one text.
+
+    ``answers``: ids (array), text.  Parts end where one quote closes and the next
+    opens; an answer whose parts and ids differ in number is ambiguous and gives
+    no rows.
+    """
+    parts = F.split("text", r"(?<=\[/quote\])\s*\n\n(?=\[quote)")
+    paired = answers.withColumn("__p", parts).filter(F.size("__p") == F.size("ids"))
+    each = paired.select(F.explode(F.arrays_zip(F.col("ids").alias("post_id"), F.col("__p").alias("part"))).alias("z"))
+    inner = F.regexp_replace(F.regexp_replace("z.part", r"^\s*\[quote[^\]]*\]", ""), r"\[/quote\]\s*$", "")
+    return each.select("z.post_id", inner.alias("source"))

@@ -149,3 +149,43 @@ def test_recorded_answers(spark, tmp_path):
 def test_unknown_table_is_refused():
     with pytest.raises(ValueError):
         schema.register(schema.TABLES["posts"])
+
+
+def test_quotes_split_or_are_refused(spark):
+    from palaver.sources.recorded import split_quotes
+
+    text = "[quote=a]one[/quote]\n\n[quote=b]two [quote]x[/quote][/quote]"
+    df = spark.createDataFrame([([1, 2], text), ([3, 4, 5], text)], "ids array<long>, text string")
+    assert rows(split_quotes(df)) == [(1, "one"), (2, "two [quote]x[/quote]")]
+
+
+def test_members_of_pages(spark, tmp_path):
+    from palaver.sources.recorded import read_members
+
+    (tmp_path / "m.json").write_text('{"page":0,"members":{"0":{"user_id":4,"username":"Al"},"1":{"user_id":0,"username":"guest"}}}\n{"page":1,"members":{"0":{"user_id":4,"username":"Al B"}}}\n')
+    assert rows(read_members(spark, str(tmp_path)).select("id", "name")) == [(4, "Al B")]
+
+
+def test_archive_addresses(spark, sf_dir, tmp_path):
+    from palaver.sources.archive import open_archive, register_views
+
+    spark.createDataFrame([(1, "a")], "id long, name string").write.parquet(str(tmp_path / "groups.parquet"))
+    assert rows(open_archive(spark, str(tmp_path))("groups")) == [(1, "a")]
+    assert register_views(spark, str(tmp_path), ["groups"]) == ["groups"]
+    assert spark.sql("SELECT count(*) FROM groups").first()[0] == 1
+
+
+def test_image_outcomes(spark):
+    from palaver.operators import images
+
+    tries = spark.createDataFrame([("h", i, ok) for i, ok in enumerate([False, False, True, False, False, False, False])], "host string, tried int, ok boolean")
+    assert rows(images.dead_hosts(tries)) == [("h", 5)]
+
+
+def test_files_are_written_once(spark, tmp_path):
+    from palaver.sources.sinks import write_files
+
+    df = spark.createDataFrame([("a/x.html", "hi"), ("b.html", "é")], "name string, data string")
+    for _ in range(2):
+        write_files(df, str(tmp_path))
+    assert (tmp_path / "a" / "x.html").read_text() == "hi" and sorted(p.name for p in tmp_path.iterdir()) == ["a", "b.html"]
