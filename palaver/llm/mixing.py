@@ -153,7 +153,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     A document without words costs no tokens and is kept once.
     """
-    shares = mix(docs, **options).select(F.col("doc_id").alias("__doc"), F.col("text_id").alias("__text"), F.col("source").alias("__source"), "size", "taken").dropDuplicates(["__doc", "__text", "__source"])
+    shares = mix(docs, **options).select(F.col("doc_id").alias("__doc"), F.col("text_id").alias("__text"), F.col("source").alias("__source"), "size", "taken")
+    shares = shares.groupBy("__doc", "__text", "__source").agg(F.max("size").alias("size"), F.max("taken").alias("taken"))  # repeated rows alike
     times = F.when(F.col("size") == 0, 1).otherwise(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int")
     shares = shares.select("__doc", "__text", "__source", times.alias("__times")).filter("__times > 0")
     same = docs["doc_id"].eqNullSafe(F.col("__doc")) & (F.xxhash64(docs["text"].cast("string")) == F.col("__text")) & docs["source"].cast("string").eqNullSafe(F.col("__source"))

@@ -160,7 +160,11 @@ def test_near_duplicates(docs, rows, empty):
     assert out[90] == out[91] == 90  # the null text is the empty text
     assert len(set(out.values())) >= 55
     assert near_dup.classes(empty).count() == 0
-    assert near_dup.drop_near_duplicates(docs.filter("doc_id is not null")).columns == docs.columns
+    kept = near_dup.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert kept.filter("doc_id is null").count() == 1
+    ids = [r["doc_id"] for r in kept.filter("doc_id is not null").collect()]
+    assert set(ids) == {c for i, c in out.items()}
 
 
 def test_banded_distance():
