@@ -42,8 +42,13 @@ def sketches(texts: pa.Array) -> np.ndarray:
     return out
 
 
-def _hex(s: np.ndarray) -> list[str]:
-    return [row.tobytes().hex() for row in s.astype(">u2")]
+def _packed(s: np.ndarray) -> pa.Array:
+    """Sketches as binary; they become hex only in results, which halves what is written between."""
+    return pa.array([row.tobytes() for row in s.astype(">u2")], pa.binary())
+
+
+def _hex(column: str):
+    return F.lower(F.hex(column)).alias(column)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -52,9 +57,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.record_batch([batch["doc_id"], pa.array(_hex(sketches(batch["text"])), pa.string())], names=["doc_id", "fingerprint"])
+            yield pa.record_batch([batch["doc_id"], _packed(sketches(batch["text"]))], names=["doc_id", "fingerprint"])
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, fingerprint string")
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, fingerprint binary").select("doc_id", _hex("fingerprint"))
 
 
 def edited(text: str, following: str) -> str:
@@ -63,7 +68,7 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - cut] + following[:cut]
 
 
-_FIELDS = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_FIELDS = "n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
 def _compared(ids: list, texts: list[str], following: list[str], kind: pa.DataType, part: int):
@@ -81,7 +86,7 @@ def _compared(ids: list, texts: list[str], following: list[str], kind: pa.DataTy
     n = len(texts)
     columns = [
         pa.array([0] * n, pa.int32()), pa.array([part] * n, pa.int32()), pa.array(ids, kind), pa.nulls(n, pa.string()), pa.array([len(t) for t in texts], pa.int64()),
-        pa.array([hashlib.sha256(t.encode("utf-8", "replace")).hexdigest() for t in changed], pa.string()), pa.array(_hex(own), pa.string()), pa.array(_hex(new), pa.string()),
+        pa.array([hashlib.sha256(t.encode("utf-8", "replace")).hexdigest() for t in changed], pa.string()), _packed(own), _packed(new),
         pa.array(likeness(own, new, ELL)), pa.array(likeness(own, after, ELL)),
     ]
     return pa.record_batch(columns, names=_NAMES)
@@ -92,7 +97,7 @@ _NAMES = ["edge", "part", "doc_id", "text", *(f.split()[0] for f in _FIELDS.spli
 
 def _edge(edge: int, part: int, doc_id, text: str, kind: pa.DataType):
     head = [pa.array([edge], pa.int32()), pa.array([part], pa.int32()), pa.array([doc_id], kind), pa.array([text], pa.string())]
-    rest = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    rest = [pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
     return pa.record_batch([*head, *(pa.nulls(1, t) for t in rest)], names=_NAMES)
 
 
@@ -141,4 +146,4 @@ def with_neighbours(docs: DataFrame) -> DataFrame:
         pairs = tails.select("part", "doc_id", "text").join(order, "part")
         pairs = pairs.join(heads.select(F.col("part").alias("next_part"), F.col("text").alias("following")), "next_part")
         result = result.unionByName(pairs.select("doc_id", "text", "following").mapInArrow(_join_edges, fields))
-    return result.select("doc_id", *(f.split()[0] for f in _FIELDS.split(", ")))
+    return result.select("doc_id", "n_chars", "edited_sha256", _hex("fingerprint"), _hex("edited_fingerprint"), "near_edited", "near_next")
