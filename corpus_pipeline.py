@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palaver.llm.blocks import saved
-from palaver.llm.bpe import decode, encode
+from palaver.llm.bpe import encode
 from palaver.llm.line_dedup import dedup_lines
 from palaver.llm.mixing import mixed_documents
 from palaver.llm.near_dup import drop_near_duplicates
@@ -36,7 +36,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenization(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (little-endian uint32) of every document, with what they decode to as a digest."""
-    both = decode(encode(docs.select("doc_id", "source", "text"), *vocabulary()), *vocabulary())
+    both = encode(docs.select("doc_id", "source", "text"), *vocabulary(), decoded="decoded")
     n = F.floor(F.octet_length("ids") / 4).cast("long")
     return both.select("doc_id", "source", n.alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -16,8 +16,7 @@ again in a cogroup, where they are summed per document.  What moves grows with
 the number of parts, that is with the input; a part's memory does not.
 
 Defined results: a null or empty text scores 0 with no n-grams; equal rows score
-alike and support each other, unless one row's counts are all there is; a null
-doc_id is kept; an empty table gives an empty result.
+alike and support each other; a null doc_id is kept; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -8,6 +8,8 @@ keeps the memory of a Python worker bounded whatever the batch size is.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 
 import numpy as np
@@ -15,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-MAX_BLOCK = 1 << 20
+MAX_BLOCK = 1 << 19
 
 _MULT = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INV = np.uint64(pow(int(_MULT), -1, 1 << 64))
@@ -144,15 +146,14 @@ def blocks(column: pa.Array | pa.ChunkedArray, most: int = MAX_BLOCK):
         last = min(max(last, first + 1), n, first + 65_535)
         yield Block(buffer[at[first] : at[last]], at[first : last + 1] - at[first], first)
         first = last
+    release()
 
 
-def by_words(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Running count helper: 1 where a range [begin, end) covers an index."""
-    n = int(end.max()) if len(end) else 0
-    cover = np.zeros(n + 1, dtype=np.int64)
-    np.add.at(cover, begin, 1)
-    np.add.at(cover, end, -1)
-    return np.cumsum(cover)[:n]
+def release() -> None:
+    """Give freed memory back to the system: workers of several stages live side by side."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -178,6 +179,3 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
-
-def sized_partitions(spark: SparkSession, least: int = 12) -> int:
-    return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -26,10 +26,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from palaver.llm.blocks import texts_of
+from palaver.llm.blocks import release, texts_of
 
 #: Distinct pre-tokens in each of the two generations that a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: Texts go on in slices of about so many characters.
 SLICE = 1 << 21
 
@@ -55,7 +55,7 @@ class Bpe(dict):
         # White space as Unicode defines it; the engine's own \s has four control characters more.
         self.split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
         self.older: dict[str, bytes] = {}
-        self.compatible: dict[tuple[int, int], bool] = {}
+        self.compatible: dict[int, bool] = {}  # both tokens in one number -> whether they fit
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.edges: dict[int, list[tuple[bytes, int]]] = {}
         self.shorter: dict[int, int] = {}
@@ -142,10 +142,9 @@ class Bpe(dict):
             # Longest matches from here on, as far as neighbours fit and no dead end is met.
             for _, t in longest(mapped, at):
                 if ids:
-                    key = (ids[-1], t)
-                    fits = known.get(key)
+                    fits = known.get(ids[-1] << 20 | t)
                     if fits is None:
-                        fits = known[key] = self.fits(*key)
+                        fits = known[ids[-1] << 20 | t] = self.fits(ids[-1], t)
                     if not fits:
                         break
                 if dead and at + len(token[t]) in dead:
@@ -167,17 +166,16 @@ class Bpe(dict):
                     break
 
     def _known(self, a: int, b: int) -> bool:
-        key = (a, b)
-        fits = self.compatible.get(key)
+        fits = self.compatible.get(a << 20 | b)
         if fits is None:
-            fits = self.compatible[key] = self.fits(a, b)
+            fits = self.compatible[a << 20 | b] = self.fits(a, b)
         return fits
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.older = dict(self)
             self.clear()
-            if len(self.compatible) > 4 * REMEMBERED:
+            if len(self.compatible) > 2 * REMEMBERED:
                 self.compatible.clear()
         ids = self.older.get(piece)
         if ids is None:
@@ -205,9 +203,15 @@ def loaded(path: str, pattern: str) -> Bpe:
     return _loaded[path, pattern]
 
 
-def encode(docs: DataFrame, path: str, pattern: str, column: str = "text", ids: str = "ids") -> DataFrame:
-    """The frame with a binary column of ids (little-endian uint32) in the text column's place."""
+def encode(docs: DataFrame, path: str, pattern: str, column: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """The frame with a binary column of ids (little-endian uint32) in the text column's place.
+
+    ``decoded`` names a further column for what the ids decode to, made by the same
+    task: a chained ``decode`` would hold a second worker with a vocabulary.
+    """
     fields = [T.StructField(ids, T.BinaryType(), False) if f.name == column else f for f in docs.schema]
+    if decoded:
+        fields.append(T.StructField(decoded, T.BinaryType(), False))
     names = [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,8 +221,12 @@ def encode(docs: DataFrame, path: str, pattern: str, column: str = "text", ids:
             texts = texts_of(batch.column(k).cast(pa.string()))
             lengths = np.diff(np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1]) if len(texts) else np.zeros(0, int)
             for a, b in slices(lengths):
-                done = pa.array([own.encode(t) for t in texts.slice(a, b - a).to_pylist()], pa.binary())
-                yield pa.record_batch([done if i == k else c.slice(a, b - a) for i, c in enumerate(batch.columns)], names=names)
+                done = [own.encode(t) for t in texts.slice(a, b - a).to_pylist()]
+                columns = [pa.array(done, pa.binary()) if i == k else c.slice(a, b - a) for i, c in enumerate(batch.columns)]
+                if decoded:
+                    columns.append(pa.array([own.decode(np.frombuffer(x, dtype="<u4").tolist()) for x in done], pa.binary()))
+                yield pa.record_batch(columns, names=names)
+            release()
 
     return docs.mapInArrow(run, T.StructType(fields))
 

@@ -57,9 +57,9 @@ def vocabulary() -> tuple[str, str]:
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from palaver.llm.bpe import decode, encode
+    from palaver.llm.bpe import encode
 
-    both = decode(encode(documents(spark, sf_dir).select("doc_id", "text"), *vocabulary()), *vocabulary())
+    both = encode(documents(spark, sf_dir).select("doc_id", "text"), *vocabulary(), decoded="decoded")
     n = F.floor(F.octet_length("ids") / 4).cast("long")
     return both.select("doc_id", n.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
