@@ -9,7 +9,9 @@ golden-ratio point frac((t + 1) * phi) through the cumulative targets to a
 source; its rank among the source's slots picks the next block of that source's
 stream - its documents in hash order, one after another, repeated as needed.
 The blocks of a source are joined to its ranked slots, so any prefix of the
-schedule is balanced too.
+schedule is balanced too.  A source's slots miss its target by a few blocks; the
+blocks it still lacks follow the schedule, and its last block ends at the target,
+so that every source is taken to the word, however small it is beside a block.
 
 Defined results: sizes are counts of runs of non-``[\\x20\\x09-\\x0D]`` (a null text
 has size 0); a null source is a source of its own and sorts last; documents of
@@ -133,13 +135,16 @@ def mix(docs: DataFrame, weights=(1.0, 2.0, 3.0), max_epochs: int = 3, slots: in
     total = per_source.agg(F.sum("source_size")).first()[0] or 0
     block = max(1, -(-total // slots))  # tokens in a block
     plan = schedule(per_source, -(-total // block)).select("i", F.col("rank").alias("block"))
+    wanted = F.round("target").cast("long")
+    lacking = per_source.join(plan.groupBy("i").agg(F.count("*").alias("n")), "i", "left").select("i", F.coalesce("n", F.lit(0)).alias("n"), F.ceil(wanted / block).alias("needed")).filter("n < needed")
+    plan = plan.union(lacking.select("i", F.explode(F.sequence("n", F.col("needed") - 1)).alias("block")))
     known = F.broadcast(per_source) if per_source.count() <= 100_000 else per_source
     placed = streams(sized).alias("p").join(known.alias("k"), F.col("p.source").eqNullSafe(F.col("k.source")))
     placed = placed.select("p.*", "k.source_size", "k.target", "k.i").withColumn("row", F.struct("doc_id", "text_id", "begin"))
     # A document's words lie in a few blocks of each pass over its source.
     passes = placed.filter("size > 0").withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(max_epochs - 1))))
     low = F.col("begin") + F.col("pass") * F.col("source_size")
-    passes = passes.select("row", "size", "i", low.alias("low"), (low + F.col("size")).alias("high"))
+    passes = passes.select("row", "size", "i", low.alias("low"), F.least(low + F.col("size"), wanted).alias("high")).filter("low < high")
     first, last = F.floor(F.col("low") / block), F.floor((F.col("high") - 1) / block)
     pieces = passes.withColumn("block", F.explode(F.sequence(first, last)))
     overlap = F.least(F.col("high"), (F.col("block") + 1) * block) - F.greatest(F.col("low"), F.col("block") * block)
