@@ -19,18 +19,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 MAX_BLOCK = 1 << 19
 
-_MULT = np.uint64(0x9E3779B97F4A7C15 | 1)
-_INV = np.uint64(pow(int(_MULT), -1, 1 << 64))
-_tables: dict[str, np.ndarray] = {}
+#: Polynomials modulo two primes: modulo a power of two, regular texts (Thue-Morse words) collide under every base.
+_PRIMES = (np.uint64((1 << 31) - 1), np.uint64((1 << 31) - 19))
+_BASES = (1_103_515_245 % ((1 << 31) - 1), 1_597_334_677)
+_tables: dict[tuple, np.ndarray] = {}
 
 
-def _powers(name: str, base: np.uint64, n: int) -> np.ndarray:
-    have = _tables.get(name)
+def _powers(which: int, inverse: bool, n: int) -> np.ndarray:
+    """The first n powers of a base, or of its inverse, modulo its prime."""
+    have = _tables.get((which, inverse))
     if have is None or len(have) < n:
-        size = max(n, 2 * MAX_BLOCK)
-        table = np.full(size, base, dtype=np.uint64)
-        table[0] = 1
-        have = _tables[name] = np.multiply.accumulate(table)
+        p = int(_PRIMES[which])
+        base = pow(_BASES[which], -1, p) if inverse else _BASES[which]
+        have = np.ones(1, dtype=np.uint64)
+        while len(have) < max(n, 2 * MAX_BLOCK):
+            have = np.concatenate([have, have * np.uint64(pow(base, len(have), p)) % _PRIMES[which]])
+        _tables[which, inverse] = have
     return have[:n]
 
 
@@ -44,7 +48,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
+_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)) >> np.uint64(33)
 
 #: The ASCII white space that separates words: [\x20\x09-\x0D].
 SPACE = np.zeros(256, dtype=bool)
@@ -71,28 +75,35 @@ class Block:
     def text(self, i: int) -> bytes:
         return self.data[self.starts[i] : self.starts[i + 1]].tobytes()
 
-    def prefix(self) -> np.ndarray:
-        """Prefix sums of a polynomial over the bytes, modulo 2**64."""
+    def prefix(self) -> list[np.ndarray]:
+        """Prefix sums of a polynomial over the bytes, one for each prime."""
         if self._prefix is None:
             n = len(self.data)
-            self._prefix = np.zeros(n + 1, dtype=np.uint64)
-            np.cumsum(_BYTES[self.data] * _powers("m", _MULT, n), out=self._prefix[1:])
+            values = _BYTES[self.data]
+            self._prefix = []
+            for i, p in enumerate(_PRIMES):
+                sums = np.zeros(n + 1, dtype=np.uint64)  # below n * 2**31
+                np.cumsum(values * _powers(i, False, n) % p, out=sums[1:])
+                self._prefix.append(sums)
         return self._prefix
 
+    def _ranges(self, begin, end, n: int) -> np.ndarray:
+        found = []
+        for i, (sums, p) in enumerate(zip(self.prefix(), _PRIMES, strict=True)):
+            found.append((sums[end] - sums[begin]) % p * _powers(i, True, n)[begin] % p)
+        return (found[0] << np.uint64(31)) | found[1]
+
     def hashes(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """64-bit hashes of the byte ranges; equal ranges have equal hashes anywhere."""
-        p = self.prefix()
-        inverse = _powers("i", _INV, len(self.data) + 1)
-        h = (p[end] - p[begin]) * inverse[begin]
-        return mix(h + (end - begin).astype(np.uint64))
+        h = self._ranges(begin, end, len(self.data) + 1)
+        return mix(h ^ mix((end - begin).astype(np.uint64)))
 
     def windows(self, k: int) -> np.ndarray:
         """The hash of the k bytes from each position; windows may cross texts."""
         n = len(self.data) - k + 1
         if n <= 0:
             return np.zeros(0, dtype=np.uint64)
-        p = self.prefix()
-        return mix((p[k:] - p[:n]) * _powers("i", _INV, n))
+        return mix(self._ranges(slice(0, n), slice(k, k + n), n))
 
     def per_text(self, flags: np.ndarray) -> np.ndarray:
         """Sums of a per-byte array over each text."""
@@ -176,6 +187,22 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def opened(docs: DataFrame, *wanted: str) -> tuple[DataFrame, list[str]]:
+    """The frame with all columns but the wanted ones renamed, and the names that ``closed`` gives back.
+
+    Columns are taken by their exact names, so that others which differ in case
+    only, or have a name that an operator uses itself, pass through.
+    """
+    names = docs.columns
+    safe = [c if c in wanted and names.index(c) == i else f"further {i}" for i, c in enumerate(names)]
+    return docs.toDF(*safe), names
+
+
+def closed(docs: DataFrame, names: list[str]) -> DataFrame:
+    """The frame with the names that ``opened`` took away."""
+    return docs.toDF(*names)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
