@@ -1,22 +1,32 @@
 """Language-model scores with stupid backoff, computed relationally.
 
-The n-grams are character n-grams of orders 1 to ``ORDER`` as 64-bit hashes;
-counts come from all documents.  A document is scored leave-one-out: its own
-counts are taken off, so that a text does not vouch for itself.  For each code
-point the longest order whose remaining count is positive gives
+The n-grams are word n-grams of orders 1 to ``order`` as 64-bit hashes; a word is
+a run of ``[^\\x20\\x09-\\x0D]``.  Counts come from all documents and nothing is
+pruned from them, but a document does not vouch for itself: an n-gram is known
+only if two documents hold it.  At each word the longest known n-gram that ends
+there gives
 
-    S = ALPHA ** (orders skipped) * count(gram) / count(gram without its last symbol)
+    S = ALPHA ** (orders skipped) * count(gram) / count(gram without its last word)
 
-and the document's score is the sum of ln S.  Below order 1, S is 1 / N.
+with count() = N, the number of all words, below order 1, and S = ALPHA ** order / N
+for an unknown word.  A document's score is the sum of ln S over its words.
 
-Plan: documents are dealt by hash into parts of about ``part_bytes``.  A part's
-n-grams are exploded and pre-aggregated to (part, gram, n); the count table is
-partitioned by the hash and joined to them; the counts meet the part's documents
-again in a cogroup, where they are summed per document.  What moves grows with
-the number of parts, that is with the input; a part's memory does not.
+Plan: an n-gram is known only if its suffix is, so the sum over words is a sum
+over n-grams of what knowing each adds to its suffix's ln S:
 
-Defined results: a null or empty text scores 0 with no n-grams; equal rows score
-alike and support each other; a null doc_id is kept; an empty table gives an empty result.
+    score(doc) = n_words * ln(ALPHA ** order / N) + sum of n(doc, gram) * weight(gram)
+
+1. Documents are exploded to (gram, document, n), distinct within a document.
+2. The count table is grouped by the n-gram's hash, with partial aggregates per
+   task; context and suffix counts join it by hash, which gives the weights.
+3. Exploded n-grams and weights join by hash; products are summed per document.
+   A very common n-gram is a row a document in a join that AQE splits.
+
+Weights are whole millionths, so that sums do not depend on their order.
+
+Defined results: a null or empty text scores 0 with no words, per_word 0; equal
+rows support each other and score alike; doc_id may be null, repeated or of any
+type; further columns do not matter; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,136 +38,90 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palaver.llm.blocks import Block, blocks, mix, saved
+from palaver.llm.blocks import Block, blocks, mix, opened, saved
 
-ORDER = 4
+ORDER = 3
 ALPHA = 0.4
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_LEAD = (np.arange(256) & 0xC0) != 0x80
-_LOW = np.uint64(0xFFFFF)
-
-
-def grams(b: Block) -> tuple[list[np.ndarray], np.ndarray]:
-    """For each order the hash ending at each code point (0: too near the text's begin), and lengths."""
-    n = b.per_text(_LEAD[b.data])
-    cp = np.frombuffer(b.data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-    place = np.arange(len(cp)) - np.repeat(np.cumsum(n) - n, n)
-    out = [mix(cp + np.uint64(1)) | np.uint64(1)]
-    for k in range(2, ORDER + 1):
-        h = np.zeros(len(cp), dtype=np.uint64)
-        if len(cp) >= k:
-            h[1:] = mix(out[-1][:-1] * _STEP + cp[1:]) | np.uint64(1)
-        h[place < k - 1] = 0
-        out.append(h)
-    return out, n
-
-
-def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    g, n = np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts])
-    order = np.argsort(g)
-    g, n = g[order], n[order]
-    first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
-    return g[first], np.add.reduceat(n, first)
-
-
-def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[int, list] = {}
-    size: dict[int, int] = {}
+_UNIT = 1_000_000
+
+
+def exploded(b: Block, order: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """gram, context, suffix, text and count of the distinct n-grams of each text; and words per text."""
+    begin, end, doc = b.words()
+    h = b.hashes(begin, end)
+    place = np.arange(len(doc)) - np.searchsorted(doc, doc)
+    out: list[list[np.ndarray]] = [[] for _ in range(6)]
+    shorter = np.zeros(len(h), dtype=np.uint64)
+    for k in range(1, order + 1):
+        at = np.flatnonzero(place >= k - 1)
+        context = shorter[at - 1] if k > 1 else np.zeros(len(at), dtype=np.uint64)
+        gram = mix(context * _STEP + h[at] + np.uint64(k))
+        key = mix(gram ^ mix(doc[at].astype(np.uint64)))
+        _, first, n = np.unique(key, return_index=True, return_counts=True)
+        first_at = at[first]
+        for part, x in zip(out, (np.full(len(first), k), gram[first], context[first], shorter[first_at], doc[first_at], n), strict=True):
+            part.append(x)
+        longer = np.zeros(len(h), dtype=np.uint64)
+        longer[at] = gram
+        shorter = longer
+    return [np.concatenate(x) for x in out], np.bincount(doc, minlength=b.n)
+
+
+def ngrams(keyed: DataFrame, order: int) -> DataFrame:
+    """doc (the key of a document), k, gram, context, suffix, n of every n-gram of every document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in blocks(batch["text"], 1 << 18):
+                (k, gram, context, suffix, doc, n), _ = exploded(b, order)
+                yield pa.record_batch(
+                    [batch["doc"].slice(b.first, b.n).take(pa.array(doc)), pa.array(k.astype(np.int8)), *(pa.array(x.astype(np.uint64).view(np.int64)) for x in (gram, context, suffix)), pa.array(n.astype(np.int32))],
+                    names=["doc", "k", "gram", "context", "suffix", "n"],
+                )
+
+    return keyed.select("doc", "text").mapInArrow(run, "doc long, k tinyint, gram long, context long, suffix long, n int")
+
+
+def weights(grams: DataFrame, total: int, order: int) -> DataFrame:
+    """gram, weight (millionths of a nat) of the n-grams that two documents hold."""
+    counts = grams.groupBy("k", "gram").agg(F.sum("n").alias("n"), F.count("*").alias("docs"), F.first("context").alias("context"), F.first("suffix").alias("suffix"))
+    known = saved(counts.filter("docs > 1").drop("docs"), "backoff-known")
+    size = float(max(total, 1))
+    own = known.filter("k = 1").select("gram", F.ln("n").alias("c"), (F.ln("n") - F.ln(F.lit(size))).alias("f"))
+    out = own.select("gram", (F.col("c") - F.ln(F.lit(ALPHA))).alias("weight"))
+    for k in range(2, order + 1):
+        shorter = own
+        own = known.filter(F.col("k") == k).join(shorter.select(F.col("gram").alias("context"), F.col("c").alias("below")), "context")
+        own = own.select("gram", "suffix", F.ln("n").alias("c"), (F.ln("n") - F.col("below")).alias("f"))
+        both = own.join(shorter.select(F.col("gram").alias("suffix"), F.col("f").alias("f_suffix")), "suffix")
+        out = out.union(both.select("gram", (F.col("f") - F.col("f_suffix") - F.ln(F.lit(ALPHA))).alias("weight")))
+    return out.select("gram", F.floor(F.col("weight") * _UNIT + 0.5).alias("weight"))
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        parts = batch["part"].to_numpy()
-        for part in np.unique(parts):
-            own = batch["text"].filter(pa.array(parts == part)) if (parts != part).any() else batch["text"]
-            for b in blocks(own):
-                for g in grams(b)[0]:
-                    found, n = np.unique(g[g != 0], return_counts=True)
-                    if len(found):
-                        held.setdefault(part, []).append((found, n))
-                        size[part] = size.get(part, 0) + len(found)
-                if size.get(part, 0) > 4_000_000:
-                    held[part] = [_merged(held[part])]
-                    size[part] = 0
-    for part, tables in held.items():
-        g, n = _merged(tables)
-        for a in range(0, len(g), 200_000):
-            own = g[a : a + 200_000]
-            yield pa.record_batch([pa.array(np.full(len(own), part, dtype=np.int32)), pa.array(own.view(np.int64)), pa.array(n[a : a + 200_000].astype(np.int32))], names=["part", "gram", "n"])
-
-
-def _others(h: np.ndarray, doc: np.ndarray, table: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """At each position the count of its n-gram in other documents; one sort by hash gives all.
-
-    Positions sort by hash, and so by document within a hash; the sorted distinct
-    hashes walk through the sorted table.
-    """
-    n = len(h)
-    order = None
-    if n <= 1 << 20:
-        packed = np.sort((h & ~_LOW) | np.arange(n, dtype=np.uint64))
-        order = (packed & _LOW).astype(np.int64)
-        s = h[order]
-        if ((s[1:] ^ s[:-1]) & ~_LOW == 0)[s[1:] != s[:-1]].any():  # hashes that differ in low bits only
-            order = None
-    if order is None:
-        order = np.argsort(h, kind="stable")
-        s = h[order]
-    d = doc[order]
-    first = np.concatenate([[True], s[1:] != s[:-1]])
-    distinct = s[first]
-    at = np.minimum(np.searchsorted(table, distinct), len(table) - 1)
-    total = np.where((table[at] == distinct) & (distinct != 0), count[at], 0)
-    group = np.flatnonzero(first | np.concatenate([[True], d[1:] != d[:-1]]))
-    own = np.diff(np.append(group, n))
-    left = np.maximum(total[np.cumsum(first)[group] - 1] - own, 0)
-    out = np.empty(n, dtype=np.int64)
-    out[order] = np.repeat(left, own)
-    return out
-
-
-def score_block(b: Block, table: np.ndarray, count: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of ln S and numbers of code points, by text; ``table`` is sorted."""
-    hashes, n = grams(b)
-    size = len(hashes[0])
-    if not size:
-        return np.zeros(b.n), n
-    doc = np.repeat(np.arange(b.n), n)
-    others = [_others(h, doc, table, count) for h in hashes]
-    log = np.full(size, np.nan)
-    left = np.arange(size)
-    for k in range(ORDER - 1, -1, -1):
-        c = others[k][left]
-        hit = c > 0
-        at = left[hit]
-        below = others[k - 1][at - 1] if k else total - n[doc[at]]
-        log[at] = np.log(c[hit] / np.maximum(below, c[hit])) + (ORDER - 1 - k) * np.log(ALPHA)
-        left = left[~hit]
-    log[left] = ORDER * np.log(ALPHA) - np.log(max(total, 1))
-    sums = np.concatenate([[0.0], np.cumsum(log)])
-    ends = np.cumsum(n)
-    return sums[ends] - sums[ends - n], n
-
-
-def _scorer(total: int):
-    def run(docs: pa.Table, counts: pa.Table) -> pa.Table:
-        order = np.argsort(g := counts["gram"].to_numpy().view(np.uint64))
-        table, count = g[order], counts["total"].to_numpy()[order]
-        score, n = np.zeros(docs.num_rows), np.zeros(docs.num_rows, dtype=np.int64)
-        if len(table):
-            for b in blocks(docs["text"], 1 << 19):
-                score[b.rows], n[b.rows] = score_block(b, table, count, total)
-        return pa.table({"doc_id": docs["doc_id"], "n_chars": n, "score": score})
-
-    return run
-
-
-def scores(docs: DataFrame, part_bytes: int = 24 << 20) -> DataFrame:
-    """doc_id, n_chars and score (the sum of ln S) of every document."""
+        n = np.zeros(batch.num_rows, dtype=np.int64)
+        for b in blocks(batch["text"]):
+            n[b.rows] = np.bincount(b.words()[2], minlength=b.n)
+        yield pa.record_batch([batch["doc_id"], batch["doc"], pa.array(n)], names=["doc_id", "doc", "n_words"])
+
+
+def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
+    """doc_id, n_words, score (the sum of ln S) and per_word (score / n_words) of every document."""
+    docs, _ = opened(docs, "doc_id", "text")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    whole = docs.select(F.sum(F.octet_length(text)).alias("bytes"), F.sum(F.char_length(text)).alias("chars")).first()
-    n_parts = max(1, -(-(whole["bytes"] or 0) // part_bytes))
-    slim = docs.select("doc_id", text.alias("text"))
-    slim = slim.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_parts)).cast("int").alias("part"), "doc_id", "text")
-    exploded = saved(slim.repartition(n_parts, "part").select("part", "text").mapInArrow(_exploded, "part int, gram long, n int"), "backoff-grams")
-    table = exploded.groupBy("gram").agg(F.sum("n").alias("total"))
-    counted = exploded.select("part", "gram").join(table, "gram").select("part", "gram", "total")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return slim.groupBy("part").cogroup(counted.groupBy("part")).applyInArrow(_scorer(whole["chars"] or 0), f"doc_id {kind}, n_chars long, score double")
+    keyed = docs.select("doc_id", text.alias("text")).withColumn("doc", F.xxhash64("doc_id", "text"))
+    kind = keyed.schema["doc_id"].dataType.simpleString()
+    rows = saved(keyed.mapInArrow(_counted, f"doc_id {kind}, doc long, n_words long"), "backoff-words")
+    total = rows.agg(F.sum("n_words")).first()[0] or 0  # one number
+    grams = ngrams(keyed, order)
+    known = weights(grams, total, order)
+    sums = grams.select("gram", "doc", "n").join(known, "gram").groupBy("doc").agg(F.sum(F.col("n") * F.col("weight")).alias("sum"))
+    copies = rows.groupBy("doc").agg(F.count("*").alias("copies"))  # equal rows have been summed together
+    floor = order * F.ln(F.lit(ALPHA)) - F.ln(F.lit(float(max(total, 1))))
+    each = copies.join(sums, "doc", "left").select("doc", F.expr("coalesce(sum, 0) div copies").alias("sum"))
+    millionths = F.col("n_words") * F.floor(floor * _UNIT + 0.5) + F.col("sum")
+    score = (millionths / F.lit(float(_UNIT))).alias("score")
+    out = rows.join(each, "doc").select("doc_id", "n_words", score)
+    return out.withColumn("per_word", F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words")).otherwise(F.lit(0.0)))

@@ -203,6 +203,11 @@ def closed(docs: DataFrame, names: list[str]) -> DataFrame:
     return docs.toDF(*names)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """The frame with columns named by their places, for tasks that take them so."""
+    return docs.toDF(*(f"column {i}" for i in range(len(docs.columns))))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

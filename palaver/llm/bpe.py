@@ -9,7 +9,8 @@ once, so the work is linear in the pre-token.  Sequences whose neighbours are
 all compatible are exactly the result of the merges.
 
 Defined results: null and empty texts have no ids and decode to nothing;
-special tokens are ordinary text; all other columns pass through; a row is
+special tokens are ordinary text; all other columns pass through, but for one that
+has a new column's name (in any case): it is replaced; a row is
 encoded alone, so ties and repeated rows need no rule.
 """
 
@@ -26,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from palaver.llm.blocks import release, texts_of
+from palaver.llm.blocks import numbered, release, texts_of
 
 #: Distinct pre-tokens in each of the two generations that a worker remembers.
 REMEMBERED = 150_000
@@ -207,42 +208,47 @@ def encode(docs: DataFrame, path: str, pattern: str, column: str = "text", ids:
     """The frame with a binary column of ids (little-endian uint32) in the text column's place.
 
     ``decoded`` names a further column for what the ids decode to, made by the same
-    task: a chained ``decode`` would hold a second worker with a vocabulary.
+    task: a chained ``decode`` would hold a second worker with a vocabulary.  All
+    other columns pass through, but for one that has a new column's name: it is replaced.
     """
-    fields = [T.StructField(ids, T.BinaryType(), False) if f.name == column else f for f in docs.schema]
+    new = {ids.lower(), (decoded or ids).lower()}
+    kept = [i for i, f in enumerate(docs.schema) if f.name == column or f.name.lower() not in new]
+    fields = [T.StructField(ids, T.BinaryType(), False) if docs.schema[i].name == column else docs.schema[i] for i in kept]
     if decoded:
         fields.append(T.StructField(decoded, T.BinaryType(), False))
     names = [f.name for f in fields]
+    k = docs.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = loaded(path, pattern)
         for batch in batches:
-            k = batch.schema.names.index(column)
             texts = texts_of(batch.column(k).cast(pa.string()))
             lengths = np.diff(np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1]) if len(texts) else np.zeros(0, int)
             for a, b in slices(lengths):
                 done = [own.encode(t) for t in texts.slice(a, b - a).to_pylist()]
-                columns = [pa.array(done, pa.binary()) if i == k else c.slice(a, b - a) for i, c in enumerate(batch.columns)]
+                columns = [pa.array(done, pa.binary()) if i == k else batch.column(i).slice(a, b - a) for i in kept]
                 if decoded:
                     columns.append(pa.array([own.decode(np.frombuffer(x, dtype="<u4").tolist()) for x in done], pa.binary()))
                 yield pa.record_batch(columns, names=names)
             release()
 
-    return docs.mapInArrow(run, T.StructType(fields))
+    return numbered(docs).mapInArrow(run, T.StructType(fields))
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", column: str = "decoded") -> DataFrame:
     """The frame with a further binary column: the bytes that the ids stand for."""
-    fields = [*encoded.schema.fields, T.StructField(column, T.BinaryType(), False)]
+    kept = [i for i, f in enumerate(encoded.schema) if f.name.lower() != column.lower()]
+    fields = [*(encoded.schema[i] for i in kept), T.StructField(column, T.BinaryType(), False)]
     names = [f.name for f in fields]
+    k = encoded.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = loaded(path, pattern)
         for batch in batches:
-            packed = batch.column(batch.schema.names.index(ids))
+            packed = batch.column(k)
             lengths = np.diff(np.frombuffer(packed.buffers()[1], dtype=np.int32)[packed.offset : packed.offset + len(packed) + 1]) if len(packed) else np.zeros(0, int)
             for a, b in slices(lengths):
                 done = [own.decode(np.frombuffer(x, dtype="<u4").tolist()) for x in packed.slice(a, b - a).to_pylist()]
-                yield pa.record_batch([*(c.slice(a, b - a) for c in batch.columns), pa.array(done, pa.binary())], names=names)
+                yield pa.record_batch([*(batch.column(i).slice(a, b - a) for i in kept), pa.array(done, pa.binary())], names=names)
 
-    return encoded.mapInArrow(run, T.StructType(fields))
+    return numbered(encoded).mapInArrow(run, T.StructType(fields))

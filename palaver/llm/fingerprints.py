@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palaver.llm.blocks import blocks, saved, texts_of
+from palaver.llm.blocks import blocks, opened, saved, texts_of
 from palaver.llm.omh import byte_kmers, likeness, sketch
 
 K, M, ELL = 12, 64, 2
@@ -53,6 +53,7 @@ def _hex(column: str):
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id and fingerprint of every document; no shuffle."""
+    docs, _ = opened(docs, "doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,6 +132,7 @@ def _join_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def with_neighbours(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, both fingerprints, near_edited and near_next."""
+    docs, _ = opened(docs, "doc_id", "text")
     spark = docs.sparkSession
     slim = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     kind = slim.schema["doc_id"].dataType.simpleString()

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from palaver.llm.blocks import blocks, saved
+from palaver.llm.blocks import blocks, closed, opened, saved
 
 PHI = 0.6180339887498949
 
@@ -130,7 +130,7 @@ def streams(sized: DataFrame, buckets: int = 4096) -> DataFrame:
 
 def mix(docs: DataFrame, weights=(1.0, 2.0, 3.0), max_epochs: int = 3, slots: int = 1 << 17) -> DataFrame:
     """doc_id, source, text_id, size, source_size, target, taken of every document."""
-    sized = saved(sizes(docs), "mix-sizes")
+    sized = saved(sizes(opened(docs, "doc_id", "text", "source")[0]), "mix-sizes")
     per_source = saved(targets(sized, weights, max_epochs), "mix-targets")
     total = per_source.agg(F.sum("source_size")).first()[0] or 0
     block = max(1, -(-total // slots))  # tokens in a block
@@ -158,10 +158,11 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     A document without words costs no tokens and is kept once.
     """
-    shares = mix(docs, **options).select(F.col("doc_id").alias("__doc"), F.col("text_id").alias("__text"), F.col("source").alias("__source"), "size", "taken")
-    shares = shares.groupBy("__doc", "__text", "__source").agg(F.max("size").alias("size"), F.max("taken").alias("taken"))  # repeated rows alike
+    docs, names = opened(docs, "doc_id", "text", "source")
+    shares = mix(docs, **options).select(F.col("doc_id").alias("mix_doc"), F.col("text_id").alias("mix_text"), F.col("source").alias("mix_source"), "size", "taken")
+    shares = shares.groupBy("mix_doc", "mix_text", "mix_source").agg(F.max("size").alias("size"), F.max("taken").alias("taken"))  # repeated rows alike
     times = F.when(F.col("size") == 0, 1).otherwise(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int")
-    shares = shares.select("__doc", "__text", "__source", times.alias("__times")).filter("__times > 0")
-    same = docs["doc_id"].eqNullSafe(F.col("__doc")) & (F.xxhash64(docs["text"].cast("string")) == F.col("__text")) & docs["source"].cast("string").eqNullSafe(F.col("__source"))
-    repeated = docs.join(shares, same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
-    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
+    shares = shares.select("mix_doc", "mix_text", "mix_source", times.alias("mix_times")).filter("mix_times > 0")
+    same = docs["doc_id"].eqNullSafe(F.col("mix_doc")) & (F.xxhash64(docs["text"].cast("string")) == F.col("mix_text")) & docs["source"].cast("string").eqNullSafe(F.col("mix_source"))
+    repeated = docs.join(shares, same).withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_times"))))
+    return closed(repeated.select(*[F.col(f"`{c}`") for c in docs.columns]), names)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palaver.llm.blocks import Block, blocks, mix
+from palaver.llm.blocks import Block, blocks, mix, opened
 from palaver.llm.quality_rules import base_counts
 
 _MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -190,23 +190,26 @@ def in_training(doc_id) -> F.Column:
 def train(docs: DataFrame, labels: DataFrame, sample: int = 12_000) -> tuple[Network | None, float]:
     """Network and prior, from at most ``sample`` positives and ``sample`` unlabelled texts."""
     by_hash = F.xxhash64(F.lit("fit"), "doc_id")
+    docs, labels = opened(docs, "doc_id", "text")[0], opened(labels, "doc_id", "quality")[0]
     good = labels.filter((F.col("quality") == 1) & in_training(F.col("doc_id"))).select("doc_id").distinct()
     chosen = good.orderBy(by_hash, "doc_id").limit(sample)  # bounded: safe to broadcast
     slim = docs.select("doc_id", "text").filter(in_training(F.col("doc_id")))
-    p = _gather(featured(slim.join(F.broadcast(chosen), "doc_id", "left_semi"), []).limit(2 * sample))
+    # The first by hash, of repeated ids too; the sort keeps no more rows than it gives.
+    p = _gather(featured(slim.join(F.broadcast(chosen), "doc_id", "left_semi").select("doc_id", "text", by_hash.alias("at")), ["at", "doc_id"]).orderBy("at", "doc_id", "x").limit(sample))
     if not len(p):
         return None, 0.5
     total = slim.count()
     # A few more than needed by a hash threshold, then exactly the first by hash.
     share = min(1.0, 1.2 * sample / max(total, 1) + 1e-9)
-    drawn = slim.filter((by_hash / F.lit(2.0**64) + 0.5) < share)
-    u = _gather(featured(drawn, []).limit(sample))
+    drawn = slim.filter((by_hash / F.lit(2.0**64) + 0.5) < share).select("doc_id", "text", by_hash.alias("at"))
+    u = _gather(featured(drawn, ["at", "doc_id"]).orderBy("at", "doc_id", "x").limit(sample))
     prior = estimate_prior(p, u)
     return fit(p, u, prior), prior
 
 
 def classify(docs: DataFrame, labels: DataFrame, sample: int = 12_000) -> DataFrame:
     """doc_id, held_out, score and predicted of every document."""
+    docs = opened(docs, "doc_id", "text")[0]
     net, prior = train(docs, labels, sample)
     shared = docs.sparkSession.sparkContext.broadcast(net)  # a few kB
     slim = docs.select("doc_id", F.coalesce(~in_training(F.col("doc_id")), F.lit(False)).alias("held_out"), F.col("text").cast("string").alias("text"))

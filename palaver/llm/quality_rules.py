@@ -1,26 +1,32 @@
 """Quality rules: base rules on words, then perplexity bands by language.
 
 Base rules need one look at a text: few words, or many words inside repeated
-five-word windows.  The method's verdict comes from a character n-gram model per
-language with modified Kneser-Ney smoothing: Spark counts the n-grams, the model
-is a set of arrays sorted by n-gram hash, and documents whose bits per character
-lie outside their language's band are rejected, too predictable as well as too
-surprising.
-
-The n-gram hash packs ``ORDER`` symbols of a fixed ``SYMBOLS``-letter alphabet,
-so a language has at most SYMBOLS ** ORDER entries however large the corpus is:
-that is the proven bound of what the driver gathers and broadcasts, and
-languages beyond ``broadcast_mb`` together are scored in several passes.
-Counts cover all documents and whole texts.
-
-Bands: median bits per character +- ``width`` robust deviations (interquartile
-range / 1.349), widened for short texts by sqrt(1 + short / characters).
+five-word windows.  The method's verdict comes from an n-gram model per language
+with modified Kneser-Ney smoothing over the texts' UTF-16 code units: Spark
+counts the n-grams and estimates their probabilities, and documents whose bits
+per unit lie outside their language's band are rejected, too predictable as
+well as too surprising.
+
+Four units of 16 bits are one 64-bit number, so an n-gram is its own exact key in
+every script; context and suffix are its leading and trailing bits, and the whole
+estimate is a few aggregates and joins by these numbers.  The model is of the
+documents themselves, all of them and whole texts, so each of their n-grams is
+in it.
+
+Scoring reads probabilities from arrays sorted by n-gram.  A model of at most
+``broadcast_mb`` is sent to every task.  A larger one is never in one place:
+documents are dealt by hash into parts of about ``part_bytes``, the distinct
+n-grams of a part are joined to the model's table by hash, and a part's sorted
+arrays meet its documents in a cogroup.  Both ways give the same scores.
+
+Bands: median bits per unit +- ``width`` robust deviations (interquartile
+range / 1.349), widened for short texts by sqrt(1 + short / units).
 
 Defined results: a null or empty text has no words and fails the base rules; a
-null language is a language of its own; languages with fewer than
-``least_chars`` characters share one model and band; rows are judged one by one,
-so repeated rows and ties agree; an empty table gives an empty result; further
-columns pass through ``quality_filter``.
+null language is a language of its own; a language with few documents is judged
+by these alone; rows are judged one by one, so repeated rows and ties agree; an
+empty table gives an empty result; ``quality_filter`` keeps all columns,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -31,39 +37,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from palaver.llm.blocks import SPACE, Block, blocks, mix, saved
+from palaver.llm.blocks import SPACE, Block, blocks, closed, mix, opened, saved
 
 ORDER = 4
-SYMBOLS = 64
-BITS = 6
+BITS = 16
+#: Units that any context may go on with: the lowest order backs off to all of them alike.
+SYMBOLS = 1 << BITS
 BASE_FIELDS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _MARKS = np.zeros(256, dtype=bool)
 _MARKS[list(b"#*$%&|<>")] = True
 _LEAD = (np.arange(256) & 0xC0) != 0x80  # bytes that begin a code point
-_POOLED = "\x00rare"
-
-
-def _alphabet() -> np.ndarray:
-    """Symbol of each code point below 0x3000: letters singly, the rest in classes; 0 pads."""
-    cp = np.arange(0x3000)
-    lut = np.where(cp < 0x80, 53, np.where(cp % 3 == 0, 61, np.where(cp % 3 == 1, 62, 63)))
-    for c in cp[cp >= 0x80]:
-        s = chr(c)
-        if s.isalpha():
-            lut[c] = 60 if s.isupper() else 54 + c % 6
-    lut[ord("a") : ord("z") + 1] = np.arange(1, 27)
-    lut[ord("A") : ord("Z") + 1] = 27 + np.arange(26) // 2
-    lut[[0x20, 0x0A]] = 40, 41
-    lut[[0x09, 0x0B, 0x0C, 0x0D]] = 42
-    lut[ord("0") : ord("9") + 1] = 43
-    for marks, symbol in ((".", 44), (",", 45), ("!?", 46), ("'\"", 47), ("()[]{}-_:;/", 48), ("#$", 49), ("%&", 50), ("*", 51), ("|<>", 52)):
-        lut[[ord(m) for m in marks]] = symbol
-    return lut.astype(np.uint32)
-
-
-_LUT = _alphabet()
+#: Discounts where a language has too few n-grams to estimate them.
+_PLAIN = (0.5, 0.75, 0.9)
+_ROW_BYTES = 12
 
 
 def base_counts(b: Block) -> dict[str, np.ndarray]:
@@ -111,224 +98,194 @@ def base_counts(b: Block) -> dict[str, np.ndarray]:
     return out
 
 
-def _ngrams(b: Block) -> tuple[np.ndarray, np.ndarray]:
-    """The n-gram hash at each code point of a block, and code points per text."""
-    lead = _LEAD[b.data]
-    n = b.per_text(lead)
-    cp = np.frombuffer(b.data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), dtype=np.uint32)
-    symbol = np.where(cp < 0x3000, _LUT[np.minimum(cp, 0x2FFF)], 61 + cp % 3).astype(np.uint32)
-    code = symbol.copy()
+def units(b: Block) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-16 code units of a block, and their number in each text."""
+    n = b.per_text(_LEAD[b.data]) + b.per_text(b.data >= 0xF0)
+    data = b.data.tobytes().decode("utf-8", "replace").encode("utf-16-le")
+    if len(data) != 2 * n.sum():  # not UTF-8: text by text, as errors are replaced by fewer or more units
+        parts = [b.text(i).decode("utf-8", "replace").encode("utf-16-le") for i in range(b.n)]
+        data, n = b"".join(parts), np.array([len(x) // 2 for x in parts])
+    return np.frombuffer(data, "<u2").astype(np.uint64), n
+
+
+def ngrams(b: Block) -> tuple[np.ndarray, np.ndarray]:
+    """The n-gram that ends at each unit of a block, as int64, and units per text; texts begin with padding."""
+    unit, n = units(b)
+    place = np.arange(len(unit)) - np.repeat(np.cumsum(n) - n, n)
+    code = unit.copy()
     for j in range(1, ORDER):
-        before = np.zeros_like(symbol)
-        before[j:] = symbol[:-j]
-        starts = np.concatenate([[0], np.cumsum(n)])[:-1][n > 0]
-        for k in range(j):  # texts begin with padding
-            at = starts + k
-            before[at[at < np.minimum(starts + n[n > 0], len(symbol))]] = 0
-        code |= before << np.uint32(BITS * j)
-    return code, n
-
-
-def _languages(batch: pa.RecordBatch) -> list:
-    return batch["lang"].to_pylist()
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of a task's n-grams by language, merged before they leave the task."""
-    number: dict = {}
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    size = 0
-
-    def merged(parts):
-        codes, n = np.concatenate([c for c, _ in parts]), np.concatenate([k for _, k in parts])
-        order = np.argsort(codes, kind="stable")
-        codes, n = codes[order], n[order]
-        first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
-        return codes[first], np.add.reduceat(n, first)
-
-    for batch in batches:
-        langs = _languages(batch)
-        for b in blocks(batch["text"]):
-            code, n = _ngrams(b)
-            own = np.repeat([number.setdefault(x, len(number)) for x in langs[b.rows]], n)
-            if len(code):
-                keys, k = np.unique((own.astype(np.int64) << 32) | code, return_counts=True)
-                held.append((keys, k))
-                size += len(keys)
-        if size > 2_000_000:
-            held = [merged(held)]
-            size = len(held[0][0])
-    if held:
-        keys, n = merged(held)
-        names = list(number)
-        of = (keys >> 32).astype(np.int64)
-        for i, name in enumerate(names):
-            at = of == i
-            count = int(at.sum())
-            yield pa.record_batch([pa.array([name] * count, pa.string()), pa.array((keys[at] & 0xFFFFFFFF).astype(np.int64)), pa.array(n[at])], names=["lang", "gram", "n"])
-
-
-def ngram_counts(docs: DataFrame) -> DataFrame:
-    """lang, gram, n over all documents; tasks pre-aggregate, then a partial aggregate by key."""
-    slim = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-
-
-class KneserNey:
-    """Modified Kneser-Ney over packed n-grams, as arrays sorted by hash.
-
-    ``grams[k]`` and ``prob[k]`` hold order k + 1, ``contexts[k]`` and
-    ``rest[k]`` the weight that a context of k symbols leaves to lower orders.
-    """
+        before = np.zeros_like(unit)
+        before[j:] = unit[:-j]
+        before[place < j] = 0
+        code |= before << np.uint64(BITS * j)
+    return code.view(np.int64), n
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    codes, n = np.concatenate([c for c, _ in parts]), np.concatenate([k for _, k in parts])
+    order = np.argsort(codes)
+    codes, n = codes[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+    return codes[first], np.add.reduceat(n, first)
+
+
+def _counted(group: str | None):
+    """Counts of a task's n-grams by language (and ``group``), merged before they leave the task."""
 
-    def __init__(self, gram: np.ndarray, n: np.ndarray):
-        order = np.argsort(gram)
-        gram, n = gram[order].astype(np.int64), n[order].astype(np.int64)
-        levels = [(gram, n)]
-        for k in range(ORDER - 1, 0, -1):  # continuation counts: distinct symbols to the left
-            levels.append(np.unique(levels[-1][0] & ((1 << (BITS * k)) - 1), return_counts=True))
-        levels.reverse()
-        self.grams, self.prob, self.contexts, self.rest = [], [], [], []
-        for k, (g, c) in enumerate(levels):
-            d = self._discounts(c)
-            heads, at = np.unique(g >> BITS, return_index=True)
-            total = np.add.reduceat(c, at).astype(np.float64)
-            left = np.add.reduceat(d[np.minimum(c, 3)], at) / total
-            of = np.repeat(np.arange(len(heads)), np.diff(np.append(at, len(g))))
-            p = (c - d[np.minimum(c, 3)]) / total[of]
-            lower = self._lookup(k - 1, g & ((1 << (BITS * k)) - 1)) if k else np.full(len(g), 1.0 / SYMBOLS)
-            p = p + left[of] * lower
-            self.grams.append(g.astype(np.int32))
-            self.prob.append(p.astype(np.float32))
-            self.contexts.append(heads.astype(np.int32))
-            self.rest.append(left.astype(np.float32))
-
-    @staticmethod
-    def _discounts(c: np.ndarray) -> np.ndarray:
-        n = [int((c == i).sum()) for i in range(1, 5)]
-        if min(n) == 0:
-            return np.array([0.0, 0.5, 0.75, 0.9])
-        y = n[0] / (n[0] + 2 * n[1])
-        d = [i - (i + 1) * y * n[i] / n[i - 1] for i in (1, 2, 3)]
-        return np.array([0.0, *(min(max(x, 0.05), i) for i, x in zip((1, 2, 3), d, strict=True))])
-
-    def _lookup(self, k: int, code: np.ndarray) -> np.ndarray:
-        """Probabilities of order k + 1, by the arrays; unseen n-grams go down an order."""
-        g = self.grams[k]
-        at = np.minimum(np.searchsorted(g, code.astype(np.int32)), len(g) - 1)
-        found = g[at] == code
-        p = self.prob[k][at].astype(np.float64)
-        if not found.all():
-            miss = code[~found]
-            lower = self._lookup(k - 1, miss & ((1 << (BITS * k)) - 1)) if k else np.full(len(miss), 1.0 / SYMBOLS)
-            heads = self.contexts[k]
-            c = np.minimum(np.searchsorted(heads, (miss >> BITS).astype(np.int32)), len(heads) - 1)
-            p[~found] = np.where(heads[c] == miss >> BITS, self.rest[k][c], 1.0) * lower
-        return p
-
-    def bits(self, code: np.ndarray) -> np.ndarray:
-        return -np.log2(self._lookup(ORDER - 1, code))
-
-    def nbytes(self) -> int:
-        return sum(a.nbytes for part in (self.grams, self.prob, self.contexts, self.rest) for a in part)
-
-
-def train(docs: DataFrame, least_chars: int = 20_000) -> dict:
-    """A model a language; the driver gathers counts, at most SYMBOLS ** ORDER a language."""
-    counts = saved(ngram_counts(docs), "quality-ngrams")
-    sizes = counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()
-    own = [r["lang"] for r in sizes if r["n"] >= least_chars]
-    models = {}
-    for lang in own:
-        table = counts.filter(F.col("lang").eqNullSafe(F.lit(lang))).select("gram", "n").toArrow()
-        models[lang] = KneserNey(table["gram"].to_numpy(), table["n"].to_numpy())
-    if len(own) < len(sizes):
-        known = F.lit(False)
-        for lang in own:
-            known = known | F.col("lang").eqNullSafe(F.lit(lang))
-        table = counts.filter(~known).groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
-        models[_POOLED] = KneserNey(table["gram"].to_numpy(), table["n"].to_numpy())
-    return models
-
-
-def _score(shared, names: list, schema_names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = shared.value
+        held: dict[tuple, list] = {}
+        size: dict[tuple, int] = {}
         for batch in batches:
-            langs = [x if x in names else _POOLED for x in _languages(batch)]
-            out = {f: np.zeros(batch.num_rows, dtype=np.int64) for f in (*BASE_FIELDS, "n_code_points")}
-            bits = np.zeros(batch.num_rows)
+            own = list(zip(batch[group].to_pylist() if group else [0] * batch.num_rows, batch["band"].to_pylist(), strict=True))
             for b in blocks(batch["text"]):
-                for f, x in base_counts(b).items():
-                    out[f][b.rows] = x
-                code, n = _ngrams(b)
-                out["n_code_points"][b.rows] = n
-                own = langs[b.rows]
-                cost = np.zeros(len(code))
-                for lang in set(own):
-                    at = np.repeat([x == lang for x in own], n)
-                    if lang in models and at.any():
-                        cost[at] = models[lang].bits(code[at].astype(np.int64))
-                total = np.concatenate([[0.0], np.cumsum(cost)])
-                ends = np.cumsum(n)
-                bits[b.rows] = (total[ends] - total[ends - n]) / np.maximum(n, 1)
-            kept = [batch[x] for x in schema_names]
-            yield pa.record_batch([*kept, pa.array(langs, pa.string()), *(pa.array(x) for x in out.values()), pa.array(bits)], names=[*schema_names, "band", *out, "bits"])
+                code, n = ngrams(b)
+                here = own[b.rows]
+                for key in set(here):
+                    at = np.repeat([x == key for x in here], n) if len(set(here)) > 1 else slice(None)
+                    found, k = np.unique(code[at], return_counts=True)
+                    if len(found):
+                        held.setdefault(key, []).append((found, k))
+                        size[key] = size.get(key, 0) + len(found)
+                    if size.get(key, 0) > 1_000_000:
+                        held[key] = [_merged(held[key])]
+                        size[key] = 0
+        for (part, band), tables in held.items():
+            codes, n = _merged(tables)
+            for a in range(0, len(codes), 100_000):
+                own_codes = codes[a : a + 100_000]
+                yield pa.record_batch(
+                    [pa.array(np.full(len(own_codes), part, dtype=np.int32)), pa.array([band] * len(own_codes), pa.string()), pa.array(own_codes), pa.array(n[a : a + 100_000])], names=["part", "band", "gram", "n"]
+                )
 
     return run
 
 
-def score(docs: DataFrame, least_chars: int = 20_000, broadcast_mb: int = 256) -> DataFrame:
-    """doc_id and text_id with the base counts, n_code_points, band (its language) and bits per character."""
+def ngram_counts(slim: DataFrame) -> DataFrame:
+    """band, gram, n over all documents; tasks pre-aggregate, then a partial aggregate by key."""
+    return slim.mapInArrow(_counted(None), "part int, band string, gram long, n long").groupBy("band", "gram").agg(F.sum("n").alias("n"))
+
+
+def _discounts(table: DataFrame) -> DataFrame:
+    """band, d1, d2, d3: what is taken off counts of one, two, three and more."""
+    n = [F.sum((F.col("n") == i).cast("long")).alias(f"n{i}") for i in range(1, 5)]
+    each = table.groupBy("band").agg(*n)
+    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+    some = F.least("n1", "n2", "n3", "n4") > 0
+    made = []
+    for i, plain in zip((1, 2, 3), _PLAIN, strict=True):
+        own = i - (i + 1) * y * F.try_divide(F.col(f"n{i + 1}"), F.col(f"n{i}"))
+        made.append(F.when(some, F.least(F.greatest(own, F.lit(0.05)), F.lit(float(i)))).otherwise(F.lit(plain)).alias(f"d{i}"))
+    return each.select("band", *made)
+
+
+def kneser_ney(counts: DataFrame) -> DataFrame:
+    """band, gram, p: the probability of each n-gram's last unit after the others.
+
+    A lower order counts the distinct units seen to the left of its n-grams.
+    """
+    levels = [counts]
+    for k in range(ORDER - 1, 0, -1):
+        shorter = F.col("gram").bitwiseAND(F.lit((1 << (BITS * k)) - 1)).alias("gram")
+        levels.append(levels[-1].select("band", shorter).groupBy("band", "gram").agg(F.count("*").alias("n")))
+    lower = None
+    for k, table in enumerate(reversed(levels), 1):
+        discount = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+        head = F.shiftrightunsigned("gram", BITS)
+        own = table.join(_discounts(table), "band").select("band", "gram", "n", discount.alias("d"), head.alias("head"))
+        heads = own.groupBy("band", "head").agg(F.sum("n").alias("total"), F.sum("d").alias("taken"))
+        own = own.join(heads, ["band", "head"])
+        kept, left = (F.col("n") - F.col("d")) / F.col("total"), F.col("taken") / F.col("total")
+        if lower is None:
+            lower = own.select("band", "gram", (kept + left / SYMBOLS).alias("p"))
+        else:
+            suffix = F.col("gram").bitwiseAND(F.lit((1 << (BITS * (k - 1))) - 1))
+            own = own.select("band", "gram", suffix.alias("suffix"), kept.alias("kept"), left.alias("left"))
+            lower = own.join(lower.select("band", F.col("gram").alias("suffix"), F.col("p").alias("below")), ["band", "suffix"])
+            lower = lower.select("band", "gram", (F.col("kept") + F.col("left") * F.col("below")).alias("p"))
+    return lower
+
+
+def _arrays(table: pa.Table) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """For each band the n-grams, sorted, and their bits."""
+    if not table.num_rows:
+        return {}
+    bands = table["band"].combine_chunks().dictionary_encode()
+    of, gram, bits = bands.indices.to_numpy(), table["gram"].to_numpy(), table["bits"].to_numpy()
+    order = np.lexsort((gram, of))
+    ends = np.cumsum(np.bincount(of, minlength=len(bands.dictionary)))
+    return {name: (gram[order[e - k : e]], bits[order[e - k : e]]) for name, e, k in zip(bands.dictionary.to_pylist(), ends.tolist(), np.diff(ends, prepend=0).tolist(), strict=True)}
+
+
+def _score_batch(batch, arrays: dict, columns: list[str]) -> pa.RecordBatch:
+    out = {f: np.zeros(batch.num_rows, dtype=np.int64) for f in (*BASE_FIELDS, "n_units")}
+    bits = np.zeros(batch.num_rows)
+    bands = batch["band"].to_pylist()
+    for b in blocks(batch["text"]):
+        for f, x in base_counts(b).items():
+            out[f][b.rows] = x
+        code, n = ngrams(b)
+        out["n_units"][b.rows] = n
+        own = bands[b.rows]
+        cost = np.zeros(len(code))
+        for band in set(own):
+            at = np.flatnonzero(np.repeat([x == band for x in own], n))
+            if len(at):
+                grams, values = arrays[band]
+                cost[at] = values[np.searchsorted(grams, code[at])]
+        total = np.concatenate([[0.0], np.cumsum(cost)])
+        ends = np.cumsum(n)
+        bits[b.rows] = (total[ends] - total[ends - n]) / np.maximum(n, 1)
+    return pa.record_batch([*(batch[c].combine_chunks() if isinstance(batch, pa.Table) else batch[c] for c in columns), *(pa.array(x) for x in out.values()), pa.array(bits)], names=[*columns, *out, "bits"])
+
+
+def score(docs: DataFrame, broadcast_mb: int = 64, part_bytes: int = 24 << 20) -> DataFrame:
+    """doc_id and text_id with the base counts, n_units, band (its language) and bits per unit."""
     spark = docs.sparkSession
-    slim = docs.select("doc_id", F.xxhash64(F.col("text").cast("string")).alias("text_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    models = train(slim, least_chars)
-    own = [k for k in models if k != _POOLED]
-    passes: list[list] = [[]]
-    size = 0
-    for lang, model in models.items():
-        if passes[-1] and size + model.nbytes() > broadcast_mb << 20:
-            passes.append([])
-            size = 0
-        passes[-1].append(lang)
-        size += model.nbytes()
+    text = F.col("text").cast("string")
+    band = F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit(""))
+    slim = docs.select("doc_id", F.xxhash64(text).alias("text_id"), F.col("lang").cast("string").alias("lang"), band.alias("band"), text.alias("text"))
+    counts = saved(ngram_counts(slim), "quality-ngrams")
+    model = kneser_ney(counts).select("band", "gram", (-F.log2("p")).cast("float").alias("bits"))
+    columns = ["doc_id", "text_id", "lang", "band"]
     kind = slim.schema["doc_id"].dataType.simpleString()
-    fields = ", ".join(f"{f} long" for f in (*BASE_FIELDS, "n_code_points"))
-    result = None
-    for group in passes:
-        part = slim
-        if len(passes) > 1:
-            member = F.lit(False)
-            for lang in own:
-                member = member | F.col("lang").eqNullSafe(F.lit(lang)) if lang in group else member
-            if _POOLED in group:
-                rare = F.lit(True)
-                for lang in own:
-                    rare = rare & ~F.col("lang").eqNullSafe(F.lit(lang))
-                member = member | rare
-            part = slim.filter(member)
-        shared = spark.sparkContext.broadcast({k: models[k] for k in group})
-        scored = part.mapInArrow(_score(shared, own, ["doc_id", "text_id", "lang"]), f"doc_id {kind}, text_id long, lang string, band string, {fields}, bits double")
-        result = scored if result is None else result.unionByName(scored)
-    return result
+    fields = f"doc_id {kind}, text_id long, lang string, band string, " + ", ".join(f"{f} long" for f in (*BASE_FIELDS, "n_units")) + ", bits double"
+    if counts.count() * _ROW_BYTES <= broadcast_mb << 20:
+        shared = spark.sparkContext.broadcast(_arrays(model.toArrow()))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield _score_batch(batch, shared.value, columns)
+
+        return slim.mapInArrow(run, fields)
+    size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_parts = max(1, -(-size // part_bytes))
+    dealt = slim.withColumn("part", F.pmod(F.xxhash64("doc_id", "text_id"), F.lit(n_parts)).cast("int"))
+    needed = dealt.repartition(n_parts, "part").mapInArrow(_counted("part"), "part int, band string, gram long, n long")
+    needed = needed.select("part", "band", "gram").join(model, ["band", "gram"])
+
+    def together(own: pa.Table, table: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([_score_batch(own, _arrays(table), columns)])
+
+    return dealt.groupBy("part").cogroup(needed.groupBy("part")).applyInArrow(together, fields)
 
 
 def judge(docs: DataFrame, width: float = 6.0, short: float = 400.0, least_words: int = 10, repeat_percent: int = 20, **options) -> DataFrame:
     """The scores with base_failed, the language's band (low, high) and kept."""
-    scored = saved(score(docs, **options), "quality-scores")
+    scored = saved(score(opened(docs, "doc_id", "text", "lang")[0], **options), "quality-scores")
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
     scored = scored.withColumn("base_failed", failed)
     q = F.percentile_approx("bits", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10_000)
     bands = scored.filter("not base_failed").groupBy("band").agg(q.alias("q"))
-    bands = bands.select(F.col("band").alias("__band"), F.col("q")[1].alias("middle"), F.greatest((F.col("q")[2] - F.col("q")[0]) / 1.349, F.lit(0.02)).alias("spread"))
-    out = scored.join(F.broadcast(bands), F.col("band").eqNullSafe(F.col("__band")), "left").drop("__band")
-    reach = F.lit(width) * F.col("spread") * F.sqrt(1 + F.lit(short) / F.greatest("n_code_points", F.lit(1)))
+    bands = bands.select("band", F.col("q")[1].alias("middle"), F.greatest((F.col("q")[2] - F.col("q")[0]) / 1.349, F.lit(0.02)).alias("spread"))
+    out = scored.join(bands, "band", "left")
+    reach = F.lit(width) * F.col("spread") * F.sqrt(1 + F.lit(short) / F.greatest("n_units", F.lit(1)))
     out = out.withColumn("low", F.col("middle") - reach).withColumn("high", F.col("middle") + reach)
     return out.withColumn("kept", ~F.col("base_failed") & F.col("bits").between(F.col("low"), F.col("high"))).drop("middle", "spread")
 
 
 def quality_filter(docs: DataFrame, **options) -> DataFrame:
     """The documents that pass, with all their columns."""
-    kept = judge(docs, **options).filter("kept").select(F.col("doc_id").alias("__doc"), F.col("text_id").alias("__text"), F.col("lang").alias("__lang")).dropDuplicates()
-    same = docs["doc_id"].eqNullSafe(F.col("__doc")) & (F.xxhash64(docs["text"].cast("string")) == F.col("__text")) & docs["lang"].cast("string").eqNullSafe(F.col("__lang"))
-    return docs.join(kept, same, "left_semi")
+    docs, names = opened(docs, "doc_id", "text", "lang")
+    kept = judge(docs, **options).filter("kept").select(F.col("doc_id").alias("kept_doc"), F.col("text_id").alias("kept_text"), F.col("lang").alias("kept_lang")).dropDuplicates()
+    same = docs["doc_id"].eqNullSafe(F.col("kept_doc")) & (F.xxhash64(docs["text"].cast("string")) == F.col("kept_text")) & docs["lang"].cast("string").eqNullSafe(F.col("kept_lang"))
+    return closed(docs.join(kept, same, "left_semi"), names)

@@ -74,7 +74,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     from palaver.llm.backoff import scores
 
-    return scores(documents(spark, sf_dir)).select("doc_id", "n_chars", F.round("score", 6).alias("score"))
+    return scores(documents(spark, sf_dir)).select("doc_id", "n_words", "score", F.round("per_word", 6).alias("per_word"))
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,4 +120,40 @@ WITH lines AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id""",
+    "op9_backoff_scores": r"""
+WITH words AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos
+  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)
+), total AS (SELECT count(*)::DOUBLE AS n FROM words),
+one AS (SELECT doc_id, word AS gram, count(*) AS n FROM words GROUP BY ALL),
+pairs AS (
+  SELECT b.doc_id, a.word || ' ' || b.word AS gram, a.word AS context, b.word AS suffix, count(*) AS n
+  FROM words a JOIN words b ON a.doc_id = b.doc_id AND a.pos + 1 = b.pos GROUP BY ALL
+), triples AS (
+  SELECT c.doc_id, a.word || ' ' || b.word || ' ' || c.word AS gram, a.word || ' ' || b.word AS context, b.word || ' ' || c.word AS suffix, count(*) AS n
+  FROM words a JOIN words b ON a.doc_id = b.doc_id AND a.pos + 1 = b.pos JOIN words c ON b.doc_id = c.doc_id AND b.pos + 1 = c.pos GROUP BY ALL
+),
+k1 AS (SELECT gram, sum(n)::DOUBLE AS n FROM one GROUP BY gram HAVING count(*) > 1),
+k2 AS (SELECT gram, any_value(context) AS context, any_value(suffix) AS suffix, sum(n)::DOUBLE AS n FROM pairs GROUP BY gram HAVING count(*) > 1),
+k3 AS (SELECT gram, any_value(context) AS context, any_value(suffix) AS suffix, sum(n)::DOUBLE AS n FROM triples GROUP BY gram HAVING count(*) > 1),
+f1 AS (SELECT gram, ln(k1.n) AS c, ln(k1.n) - ln(total.n) AS f, ln(k1.n) - ln(0.4::DOUBLE) AS weight FROM k1, total),
+f2 AS (
+  SELECT k2.gram, ln(k2.n) AS c, ln(k2.n) - x.c AS f, (ln(k2.n) - x.c) - y.f - ln(0.4::DOUBLE) AS weight
+  FROM k2 JOIN f1 x ON k2.context = x.gram JOIN f1 y ON k2.suffix = y.gram
+), f3 AS (
+  SELECT k3.gram, (ln(k3.n) - x.c) - y.f - ln(0.4::DOUBLE) AS weight
+  FROM k3 JOIN f2 x ON k3.context = x.gram JOIN f2 y ON k3.suffix = y.gram
+), sums AS (
+  SELECT doc_id, sum(n * floor(weight * 1000000 + 0.5)::BIGINT)::BIGINT AS s FROM (
+    SELECT doc_id, n, weight FROM one JOIN f1 USING (gram)
+    UNION ALL SELECT doc_id, n, weight FROM pairs JOIN f2 USING (gram)
+    UNION ALL SELECT doc_id, n, weight FROM triples JOIN f3 USING (gram)
+  ) GROUP BY doc_id
+), sized AS (SELECT d.doc_id, count(w.word) AS n_words FROM documents d LEFT JOIN words w ON d.doc_id = w.doc_id GROUP BY d.doc_id),
+scored AS (
+  SELECT z.doc_id, z.n_words,
+         (z.n_words * floor((3 * ln(0.4::DOUBLE) - ln(greatest(total.n, 1))) * 1000000 + 0.5)::BIGINT + coalesce(sums.s, 0))::DOUBLE / 1000000 AS score
+  FROM sized z CROSS JOIN total LEFT JOIN sums ON z.doc_id = sums.doc_id
+)
+SELECT doc_id, n_words, score, CASE WHEN n_words > 0 THEN round(score / n_words, 6) ELSE 0.0 END AS per_word FROM scored""",
 }

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palaver.llm.blocks import Block, blocks, mix, saved, texts_of
+from palaver.llm.blocks import Block, blocks, mix, opened, saved, texts_of
 
 WINDOW = 200
 K = 64
@@ -322,6 +322,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, removed (maximal runs of bytes) and kept (remaining bytes, maybe not whole characters)."""
+    docs, _ = opened(docs, "doc_id", "text")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     slim = docs.select("doc_id", F.xxhash64(text).alias("text_id"), text.alias("text"))
     kind = slim.schema["doc_id"].dataType.simpleString()

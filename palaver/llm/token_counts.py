@@ -11,7 +11,8 @@ Defined results: null and empty texts have no leaves and count 0; edit bounds
 are clipped to the text as it is when the edit's turn comes, a stop before the
 start is an insertion, a null replacement deletes; null edits are skipped; rows
 are independent, so ties, repeated rows and empty tables need no rule; further
-columns pass through.
+columns pass through, but for those that have a new column's name (in any case):
+they are replaced.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from palaver.llm.blocks import texts_of
+from palaver.llm.blocks import closed, numbered, opened, texts_of
 from palaver.llm.bpe import Bpe, loaded, slices
 
 RUN = 64  # leaves in a run when a tree is built
@@ -166,15 +167,16 @@ class TokenTree:
 
 def build(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """The frame with ``leaf_chars`` and ``leaf_tokens``: the leaves of each text's tree."""
-    kept = [f for f in docs.schema.fields if f.name not in ("leaf_chars", "leaf_tokens")]
+    kept = [f for f in docs.schema.fields if f.name.lower() not in ("leaf_chars", "leaf_tokens")]
     many = T.ArrayType(T.IntegerType(), False)
     fields = [*kept, T.StructField("leaf_chars", many, False), T.StructField("leaf_tokens", many, False)]
-    names = [f.name for f in fields]
+    names, given = [f.name for f in fields], docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path, pattern)
         kind = pa.list_(pa.int32())
         for batch in batches:
+            batch = batch.rename_columns(given)
             texts = texts_of(batch["text"])
             lengths = np.diff(np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1]) if len(texts) else np.zeros(0, int)
             for a, b in slices(lengths):
@@ -188,7 +190,7 @@ def build(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 made = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x, pa.int32())).cast(kind) for x in (chars, tokens)]
                 yield pa.record_batch([*(batch[f.name].slice(a, b - a) for f in kept), *made], names=names)
 
-    return docs.mapInArrow(run, T.StructType(fields))
+    return numbered(docs).mapInArrow(run, T.StructType(fields))
 
 
 def apply_edits(trees: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -198,14 +200,15 @@ def apply_edits(trees: DataFrame, path: str, pattern: str) -> DataFrame:
     ``n_after`` (token counts) and ``n_encoded`` (pre-tokens encoded again).
     """
     made = ("n_before", "n_after", "n_encoded")
-    kept = [f for f in trees.schema.fields if f.name not in (*made, "edits")]
+    kept = [f for f in trees.schema.fields if f.name.lower() not in (*made, "edits")]
     fields = [*kept, *(T.StructField(n, T.LongType(), False) for n in made)]
-    names = [f.name for f in fields]
+    names, given = [f.name for f in fields], trees.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path, pattern)
         kind = pa.list_(pa.int32())
         for batch in batches:
+            batch = batch.rename_columns(given)
             texts = texts_of(batch["text"])
             for a in range(0, batch.num_rows, 500):
                 part = batch.slice(a, 500)
@@ -233,14 +236,15 @@ def apply_edits(trees: DataFrame, path: str, pattern: str) -> DataFrame:
                     out[k] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(own))).cast(kind)
                 yield pa.record_batch([out[k] if k in out else part[k] for k in names], names=names)
 
-    return trees.mapInArrow(run, T.StructType(fields))
+    return numbered(trees).mapInArrow(run, T.StructType(fields))
 
 
 def three_edits(docs: DataFrame) -> DataFrame:
     """Documents with three edits each: a replacement, an insertion and a deletion."""
+    docs, names = opened(docs.drop("edits"), "text")
     n = F.char_length(F.coalesce(F.col("text"), F.lit("")))
 
     def edit(at, cut: int, new: str):
         return F.struct(at.cast("int").alias("start"), (at + cut).cast("int").alias("stop"), F.lit(new).alias("replacement"))
 
-    return docs.withColumn("edits", F.array(edit(F.floor(n / 4), 8, " re-worded it's"), edit(F.floor(n / 2), 0, "\n\n  42 new words,"), edit(F.floor(n * 3 / 4), 16, "")))
+    return closed(docs.withColumn("edits", F.array(edit(F.floor(n / 4), 8, " re-worded it's"), edit(F.floor(n / 2), 0, "\n\n  42 new words,"), edit(F.floor(n * 3 / 4), 16, ""))), [*names, "edits"])

@@ -14,7 +14,7 @@ import pytest
 tiktoken = pytest.importorskip("tiktoken")
 import public_tokenizers as P  # noqa: E402
 
-from palaver.llm import backoff, bpe, fingerprints, line_dedup, mixing, near_dup, omh, pu_quality, quality_rules, repeats, token_counts  # noqa: E402
+from palaver.llm import bpe, fingerprints, line_dedup, mixing, near_dup, omh, pu_quality, repeats, token_counts  # noqa: E402
 from palaver.llm.blocks import blocks  # noqa: E402
 
 VOCABULARY = P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN
@@ -120,39 +120,6 @@ def test_columns_agree_with_pairs():
         assert (first[i], last[i]) == ((own[0], own[-1]) if own else (-1, -1))
 
 
-def test_base_rules_and_bands(docs, rows, empty):
-    judged = {(r["doc_id"], r["text_id"]): r for r in quality_rules.judge(docs).collect()}
-    by_id = {i: t for i, t, *_ in rows}
-    for (i, _), r in judged.items():
-        text = by_id[i] or ""
-        words = WORD.findall(text)
-        windows = [tuple(words[k : k + 5]) for k in range(len(words) - 4)]
-        n = Counter(windows)
-        covered = {k + j for k, w in enumerate(windows) if n[w] > 1 for j in range(5)}
-        seen, dup = set(), 0
-        for line in text.split("\n"):
-            if WORD.search(line):
-                dup += line in seen
-                seen.add(line)
-        assert (r["n_words"], r["word_chars"], r["n_dup_lines"], r["n_repeat_words"]) == (len(words), sum(map(len, words)), dup, len(covered))
-        assert r["base_failed"] == (len(words) < 10 or 100 * len(covered) > 20 * len(words))
-        assert not (r["kept"] and r["base_failed"])
-    assert sum(r["kept"] for r in judged.values()) > 50
-    assert quality_rules.judge(empty).count() == 0
-    kept = quality_rules.quality_filter(docs)
-    assert kept.columns == docs.columns and kept.count() < len(rows)
-
-
-def test_kneser_ney_sums_to_one():
-    rng = np.random.default_rng(1)
-    code = rng.integers(0, 5, (4, 4000))
-    gram = (code[0] << 18) | (code[1] << 12) | (code[2] << 6) | code[3]
-    keys, n = np.unique(gram, return_counts=True)
-    model = quality_rules.KneserNey(keys, n)
-    context = (1 << 18) | (2 << 12) | (3 << 6)
-    assert math.isclose(sum(2.0 ** -model.bits(np.array([context + w]))[0] for w in range(64)), 1.0, rel_tol=1e-4)
-
-
 def test_near_duplicates(docs, rows, empty):
     out = {r["doc_id"]: r["class_id"] for r in near_dup.classes(docs).collect()}
     assert out.pop(None) is None
@@ -282,36 +249,6 @@ def test_token_trees(docs, rows, empty):
     assert token_counts.apply_edits(token_counts.build(token_counts.three_edits(empty), *VOCABULARY), *VOCABULARY).count() == 0
 
 
-def test_backoff(docs, rows, empty):
-    total = [Counter() for _ in range(4)]
-    own = []
-    for _, t, *_ in rows:
-        t = t or ""
-        own.append([Counter(t[j : j + k] for j in range(len(t) - k + 1)) for k in range(1, 5)])
-        for k in range(4):
-            total[k].update(own[-1][k])
-    n = sum(total[0].values())
-    want = []
-    for (i, t, *_), mine in zip(rows, own):
-        t, s = t or "", 0.0
-        for j in range(len(t)):
-            for k in range(4, 0, -1):
-                g = t[j - k + 1 : j + 1] if j >= k - 1 else None
-                c = total[k - 1][g] - mine[k - 1][g] if g else 0
-                if c > 0:
-                    below = total[k - 2][g[:-1]] - mine[k - 2][g[:-1]] if k > 1 else n - len(t)
-                    s += math.log(c / max(below, c)) + (4 - k) * math.log(0.4)
-                    break
-            else:
-                s += 4 * math.log(0.4) - math.log(n)
-        want.append((i, round(s, 3), len(t)))
-    out = Counter((r["doc_id"], r["n_chars"]) for r in backoff.scores(docs, part_bytes=20_000).collect())
-    assert out == Counter((i, c) for i, _, c in want)
-    scores = sorted(r["score"] for r in backoff.scores(docs, part_bytes=20_000).collect())
-    assert np.allclose(scores, sorted(s for _, s, _ in want), rtol=1e-5, atol=0.01)
-    assert backoff.scores(empty).count() == 0
-
-
 def test_positive_unlabelled(spark, sf_dir, empty):
     docs = spark.read.parquet(sf_dir.replace("sf0.001", "sf0.01") + "/documents.parquet")
     labels = spark.read.parquet(sf_dir.replace("sf0.001", "sf0.01") + "/labels.parquet")
