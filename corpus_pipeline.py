@@ -1,11 +1,21 @@
-"""The documents table through five stages, each written as Parquet and read again."""
+"""The documents table through five stages, each written as Parquet and read again.
+
+Every stage takes the columns doc_id, text, lang, source and n_chars by their exact
+names and passes all others through, whatever they are called, but for the last,
+which returns doc_id, source and what it makes.  Defined results: nulls in any
+column and empty texts fail the quality rules, so later stages see them only if
+they are called by themselves (see the operators); repeated rows are judged alike
+and are one document to near_dedup, which keeps both; ties go to the least doc_id
+in near_dedup and the largest in line_dedup; long texts are processed whole; an
+empty table gives an empty table.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palaver.llm.blocks import saved
+from palaver.llm.blocks import closed, opened, saved
 from palaver.llm.bpe import encode
 from palaver.llm.line_dedup import dedup_lines
 from palaver.llm.mixing import mixed_documents
@@ -21,7 +31,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that five or more of them share; ``n_chars`` follows the text."""
-    return dedup_lines(docs).withColumn("n_chars", F.char_length("text").cast("long"))
+    cut, names = opened(dedup_lines(docs), "text", "n_chars")
+    kind = cut.schema["n_chars"].dataType
+    return closed(cut.withColumn("n_chars", F.char_length("text").cast(kind)), names)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +48,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenization(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (little-endian uint32) of every document, with what they decode to as a digest."""
-    both = encode(docs.select("doc_id", "source", "text"), *vocabulary(), decoded="decoded")
+    both = encode(opened(docs, "doc_id", "source", "text")[0].select("doc_id", "source", "text"), *vocabulary(), decoded="decoded")
     n = F.floor(F.octet_length("ids") / 4).cast("long")
     return both.select("doc_id", "source", n.alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
