@@ -35,31 +35,42 @@ def increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return chain[::-1]
 
 
-def anchors(old: DataFrame, new: DataFrame, block: int = 100_000) -> DataFrame:
+#: Members with a name of their own in both sources, two numbers each, that one chain is found over.
+MOST_ANCHORS = 20_000_000
+
+
+def anchors(old: DataFrame, new: DataFrame, most: int = MOST_ANCHORS) -> DataFrame:
     """old_pos, new_pos of members with the same unique name whose order agrees.
 
-    Ids of both sources grow with time, so the chain is found per block of old
-    positions and joined where blocks agree; a board of up to ``block`` members is
-    one block.
+    The longest chain depends on all anchors at once, so one task finds it: a pair
+    of numbers an anchor.  More than ``most`` are an error, never a chain cut short.
     """
     both = unique_names(old).join(unique_names(new).select("key", F.col("pos").alias("new_pos")), "key").select(F.col("pos").alias("old_pos"), "new_pos")
 
+    count = both.count()
+    if count > most:
+        raise ValueError(f"{count} members have a name of their own in both sources; one chain is found over at most {most}")
+
     def chain(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(increasing(list(zip(rows["old_pos"], rows["new_pos"], strict=True))), columns=["old_pos", "new_pos"])
 
-    chained = both.groupBy(F.floor(F.col("old_pos") / block).alias("b")).applyInPandas(chain, "old_pos long, new_pos long")
-    return chained
+    return both.groupBy(F.lit(0).alias("all")).applyInPandas(chain, "old_pos long, new_pos long")
 
 
 def link_members(old: DataFrame, new: DataFrame) -> DataFrame:
-    """old_id, new_id, match: 'name' for anchors, 'position' for members between them.
+    """old_id, new_id, match: 'name' for anchors, 'position' for members between them, 'only-name' for the rest.
 
-    ``old`` and ``new`` have id and key (the compared name).
+    ``old`` and ``new`` have id and key (the compared name).  Members off the chain
+    were entered anew: they are matched by their name alone, if it is unique on both
+    sides and neither member is taken.
     """
     o, n = number_rows(old, ["id"], "pos"), number_rows(new, ["id"], "pos")
     a = anchors(o, n)
     by_name = a.join(o.select(F.col("pos").alias("old_pos"), F.col("id").alias("old_id")), "old_pos").join(n.select(F.col("pos").alias("new_pos"), F.col("id").alias("new_id")), "new_pos").select("old_id", "new_id", F.lit("name").alias("match"))
-    return by_name.unionByName(position_fill(a, o, n))
+    found = by_name.unionByName(position_fill(a, o, n))
+    alone = unique_names(old).select(F.col("id").alias("old_id"), "key").join(unique_names(new).select(F.col("id").alias("new_id"), "key"), "key")
+    rest = alone.join(found.select("old_id"), "old_id", "left_anti").join(found.select("new_id"), "new_id", "left_anti")
+    return found.unionByName(rest.select("old_id", "new_id", F.lit("only-name").alias("match")))
 
 
 def link_archive(archive: DataFrame, posts: DataFrame) -> DataFrame:

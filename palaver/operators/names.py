@@ -8,26 +8,34 @@ from pyspark.sql import functions as F
 from palaver.functions.text import exact_or_prefix, ratio
 
 
-def name_pairs(asked: DataFrame, known: DataFrame, fuzzy: float | None = None, most_prefix: int = 40) -> DataFrame:
+def name_pairs(asked: DataFrame, known: DataFrame, fuzzy: float | None = None) -> DataFrame:
     """Pairs of asked and known rows whose ``key`` agrees: score 2 exact, 1 prefix or alike.
 
-    Equal keys and prefixes are found by an equi-join on the first three letters,
-    so only names that could agree are compared.  With ``fuzzy``, names that share
+    Equal keys are an equi-join.  For prefixes the longer name gives those of its
+    prefixes whose length the score allows, a few each, and these are joined on the
+    whole shorter name, whichever side it is on.  With ``fuzzy``, names that share
     a two-letter piece and have near lengths are compared by difflib's ratio too.
     """
-    a = asked.withColumnRenamed("key", "__a").withColumn("__h", F.substring("__a", 1, 3))
-    b = known.withColumnRenamed("key", "__b").withColumn("__h", F.substring("__b", 1, 3))
-    close = a.join(b, "__h").withColumn("score", exact_or_prefix(F.col("__a"), F.col("__b"))).filter("score > 0").drop("__h")
+    a, b = asked.withColumnRenamed("key", "__a"), known.withColumnRenamed("key", "__b")
+    names_a, names_b = a.select("__a").distinct(), b.select("__b").distinct()
+    equal = names_a.join(names_b, F.col("__a") == F.col("__b")).select("__a", "__b")
+    heads = equal
+    for longer, shorter, long_name, short_name in ((names_a, names_b, "__a", "__b"), (names_b, names_a, "__b", "__a")):
+        n = F.length(long_name)
+        least = F.greatest(F.lit(3), F.ceil(n - n * 0.3 - 2).cast("int"))
+        pieces = longer.filter(n > least).withColumn("__head", F.explode(F.transform(F.sequence(least, n - 1), lambda i: F.substr(F.col(long_name), F.lit(1), i))))
+        heads = heads.unionByName(pieces.join(shorter, F.col("__head") == F.col(short_name)).select("__a", "__b"))
+    scored = heads.withColumn("score", exact_or_prefix(F.col("__a"), F.col("__b"))).filter("score > 0")
+    close = a.join(scored, "__a").join(b, "__b")
     if fuzzy is None:
         return close
     grams = lambda c: F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: F.substr(F.col(c), i, F.lit(2)))))
-    names_a, names_b = a.select("__a").distinct(), b.select("__b").distinct()
     near = F.abs(F.length("__a") - F.length("__b")) <= F.greatest(F.length("__a"), F.length("__b")) * 0.3 + 2
     shared = names_a.withColumn("g", grams("__a")).join(names_b.withColumn("g", grams("__b")), "g").filter(near & (F.least(F.length("__a"), F.length("__b")) >= 3))
     # A ratio of r needs at least about r * longer - 1 - 2 * (differing letters) common pairs; half of them is a safe bar.
     counted = shared.groupBy("__a", "__b").agg(F.count("*").alias("n")).filter(F.col("n") >= F.floor(F.least(F.length("__a"), F.length("__b")) / 3))
     alike = counted.filter(ratio("__a", "__b") >= fuzzy).select("__a", "__b")
-    more = a.drop("__h").join(alike, "__a").join(b.drop("__h"), "__b").withColumn("score", F.lit(1))
+    more = a.join(alike, "__a").join(b, "__b").withColumn("score", F.lit(1))
     return close.unionByName(more.join(close.select("__a", "__b").distinct(), ["__a", "__b"], "left_anti").select(*close.columns))
 
 

@@ -14,8 +14,12 @@ from pyspark.sql import functions as F
 from palaver.functions import dates, text
 from palaver.operators.names import name_pairs
 from palaver.operators.ranges import bucketed_range_join, minutes
+from palaver.operators.shared import materialized
 
-SAMPLE, COMMON, LEAST, TOP = 60, 2000, 3, 20
+#: Fixed values of the linkage: trigrams a quote, posts a trigram, trigrams that make a text comparable, candidates by text, latest posts of a topic, likeness of names.
+SAMPLE, COMMON, LEAST, TOP, SCAN, ALIKE = 60, 2000, 3, 20, 500, 0.85
+#: Fixed value: minutes by which a quoted post may seem later than its bound.
+SLACK = 2
 
 
 def wanted_trigrams(quotes: DataFrame, body: str = "body") -> DataFrame:
@@ -53,19 +57,23 @@ def zone_candidates(quotes: DataFrame, posts: DataFrame) -> DataFrame:
     return found.withColumn("offset", offset).filter("offset is not null").select("quote_id", "post_id", "offset")
 
 
-def habits(evidence: DataFrame) -> DataFrame:
-    """viewer, offset: the zones a viewer's quotes usually show.
-
-    A quote teaches if one candidate alone has both its author and its date; an
-    offset is usual if it was seen twice and in a fifth of the viewer's lessons.
-    """
+def lessons(evidence: DataFrame) -> DataFrame:
+    """viewer, offset of quotes of which one candidate alone has both author and date."""
     sure = evidence.filter("author = 2 and offset is not null and viewer is not null")
-    lessons = sure.groupBy("quote_id", "viewer").agg(F.count("*").alias("n"), F.min("offset").alias("offset")).filter("n = 1")
-    seen = lessons.groupBy("viewer", "offset").agg(F.count("*").alias("n"))
+    return sure.groupBy("quote_id", "viewer").agg(F.count("*").alias("n"), F.min("offset").alias("offset")).filter("n = 1").select("viewer", "offset")
+
+
+def usual(learned: DataFrame) -> DataFrame:
+    """viewer, offset: the zones a viewer's quotes usually show, seen twice and in a fifth of the lessons."""
+    seen = learned.groupBy("viewer", "offset").agg(F.count("*").alias("n"))
     total = F.sum("n").over(Window.partitionBy("viewer"))
     return seen.withColumn("total", total).filter((F.col("n") >= 2) & (F.col("n") >= F.col("total") / 5)).select("viewer", "offset")
 
 
+def habits(evidence: DataFrame) -> DataFrame:
+    return usual(lessons(evidence))
+
+
 def decide(evidence: DataFrame, usual: DataFrame) -> DataFrame:
     """quote_id, post_id, match, similarity, offset: the best candidate of each quote.
 
@@ -107,36 +115,141 @@ def decide(evidence: DataFrame, usual: DataFrame) -> DataFrame:
     )
 
 
-def link_level(quotes: DataFrame, posts: DataFrame, users: DataFrame, hits: DataFrame, usual: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Decisions and evidence for quotes whose bounds are known.
+def read_dates(quotes: DataFrame) -> DataFrame:
+    """The quotes with ``when`` (its parts), ``quoted_at`` (to the minute, null if parts are lost) and ``utc``.
+
+    Unix seconds are UTC; a written date is in the zone of whoever quoted.
+    """
+    stamp = F.timestamp_seconds("unix").cast("timestamp_ntz")
+    parts = F.struct(F.year(stamp).alias("year"), F.month(stamp).alias("month"), F.day(stamp).alias("day"), F.hour(stamp).alias("hour"), F.minute(stamp).alias("minute"))
+    when = F.when(F.col("unix").isNotNull(), parts).otherwise(dates.quote_date(F.col("date")))
+    out = quotes.withColumn("when", when).withColumn("utc", F.col("unix").isNotNull())
+    w = F.col("when")
+    digits = F.format_string("%04d-%02d-%02d %02d:%02d", w["year"], w["month"], w["day"], w["hour"], w["minute"])
+    whole = w["month"].isNotNull() & w["hour"].isNotNull()
+    return out.withColumn("quoted_at", F.when(whole, F.try_to_timestamp(digits, F.lit("yyyy-MM-dd HH:mm")).cast("timestamp_ntz")))
+
+
+def shown_offset(when: Column, quoted_at: Column, utc: Column, posted_at: Column) -> Column:
+    """Minutes between a post's time and how a quote shows it; null if they do not agree."""
+    same = F.when(F.abs(minutes(quoted_at) - minutes(posted_at)) <= 1, F.lit(0).cast("long"))
+    lost = dates.partial_offset(when, F.date_trunc("minute", posted_at).cast("timestamp_ntz")).cast("long")
+    return F.when(utc, same).when(quoted_at.isNotNull(), dates.exact_offset(quoted_at, posted_at)).when(when.isNotNull(), lost)
+
 
-    ``quotes``: quote_id, container, topic_id, author, quoted_at (minute, UTC as
-    shown), before, viewer.  ``posts``: id, topic_id, user_id, posted_at.
+def name_scores(quotes: DataFrame, names: DataFrame, holder: str) -> DataFrame:
+    """quote_id, holder, score (1 or 2) of the holders whose name is, or is nearly, a quote's author.
+
+    ``names`` has ``holder`` and ``key``; a holder with several names counts by the best.
     """
     asked = quotes.filter("author is not null").select("quote_id", text.name_key(F.col("author")).alias("key"))
-    names = users.select(F.col("id").alias("uid"), text.name_key(F.col("name")).alias("key"))
-    pairs = name_pairs(asked.select("key").distinct().withColumn("asked", F.col("key")), names).select("asked", "uid", "score")
-    scored = asked.join(pairs, F.col("key") == F.col("asked")).select("quote_id", F.col("uid").alias("user_id"), "score")
-    named = asked.join(names.select("key").distinct(), "key", "left_semi").select("quote_id", F.lit(True).alias("named"))
-    # Same-topic posts by the quoted author, no later than the quoting post.
+    pairs = name_pairs(asked.select("key").distinct().withColumn("asked", F.col("key")), names.select(holder, "key"), ALIKE).select("asked", holder, "score")
+    return asked.join(pairs, F.col("key") == F.col("asked")).groupBy("quote_id", holder).agg(F.max("score").alias("score"))
+
+
+def latest_of_topic(bounds: DataFrame, posts: DataFrame) -> DataFrame:
+    """quote_id, post_id: the last ``SCAN`` posts of a quote's topic up to its bound (all of the topic without one).
+
+    ``bounds``: quote_id, topic_id, before.  A running maximum over posts and bounds
+    of a topic gives each bound its last place, and places join as a range.
+    """
+    placed = posts.filter("posted_at is not null").withColumn("place", F.row_number().over(Window.partitionBy("topic_id").orderBy("posted_at", "post_id")))
+    marks = placed.select("topic_id", F.col("posted_at").alias("t"), F.lit(0).alias("kind"), "place", F.lit(None).cast("string").alias("quote_id"))
+    asked = bounds.select("topic_id", (F.col("before") + F.make_interval(mins=F.lit(SLACK))).alias("t"), F.lit(1).alias("kind"), F.lit(None).cast("int").alias("place"), "quote_id")
+    asked = asked.withColumn("t", F.coalesce("t", F.lit("9999-12-31").cast("timestamp_ntz")))
+    last = F.max("place").over(Window.partitionBy("topic_id").orderBy("t", "kind").rowsBetween(Window.unboundedPreceding, 0))
+    ends = marks.unionByName(asked).withColumn("last", last).filter("kind = 1 and last is not null").select("quote_id", F.col("topic_id").alias("__t"), "last")
+    found = bucketed_range_join(ends, placed.select("post_id", "topic_id", "user_id", "place"), F.col("last") - SCAN + 1, F.col("last"), F.col("place"), SCAN, [("__t", "topic_id")])
+    return found.select("quote_id", "post_id", "user_id")
+
+
+def link_level(quotes: DataFrame, posts: DataFrame, names: DataFrame, hits: DataFrame, learned: DataFrame | None = None, guests: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Decisions (see ``decide``) for quotes whose bounds are known, and their lessons.
+
+    ``quotes``: quote_id, container, topic_id, author, when, quoted_at, utc, post_ref,
+    user_ref, before, viewer.  ``posts``: id, topic_id, user_id, posted_at.  ``names``:
+    user_id, key.  ``guests``: post_id, key of posts without a user.  ``learned``:
+    lessons of levels before.
+    """
     slim = posts.select(F.col("id").alias("post_id"), "topic_id", "user_id", "posted_at")
-    by_author = quotes.select("quote_id", "topic_id", "before").join(scored, "quote_id").join(slim, ["topic_id", "user_id"]).select("quote_id", "post_id")
-    pool = by_author.union(zone_candidates(quotes, posts).select("quote_id", "post_id")).union(top_hits(hits).select("quote_id", "post_id")).distinct()
-    q = quotes.withColumnRenamed("topic_id", "__qt")
-    e = pool.join(q, "quote_id").join(slim, "post_id").filter("post_id <> container and posted_at is not null")
-    e = e.filter(F.col("before").isNull() | (F.col("posted_at") <= F.col("before") + F.expr("interval 2 minutes")))
-    e = e.join(scored, ["quote_id", "user_id"], "left").join(hits.select("quote_id", "post_id", F.col("hits").alias("h")), ["quote_id", "post_id"], "left")
-    usable = hits.groupBy("quote_id").agg(F.max("usable").alias("usable"))
-    e = e.join(usable, "quote_id", "left").join(named, "quote_id", "left")
+    by_user = name_scores(quotes, names, "user_id").unionByName(quotes.filter("user_ref is not null").select("quote_id", F.col("user_ref").alias("user_id"), F.lit(2).alias("score")))
+    by_user = by_user.groupBy("quote_id", "user_id").agg(F.max("score").alias("score"))
+    by_post = name_scores(quotes, guests, "post_id") if guests is not None else by_user.limit(0).select("quote_id", F.col("user_id").alias("post_id"), "score")
+    # In the topic by the author; at the quoted time in the topic, or anywhere by the author; by text.
+    scanned = latest_of_topic(quotes.filter("author is not null or user_ref is not null").select("quote_id", "topic_id", "before"), slim)
+    by_author = scanned.join(by_user, ["quote_id", "user_id"], "left_semi").select("quote_id", "post_id").unionByName(scanned.join(by_post, ["quote_id", "post_id"], "left_semi").select("quote_id", "post_id"))
+    timed = quotes.filter("quoted_at is not null").select("quote_id", "topic_id", "quoted_at")
+    at, point = minutes(F.col("quoted_at")), minutes(F.col("posted_at"))
+    near = bucketed_range_join(timed.withColumnRenamed("topic_id", "__t"), slim, at - 842, at + 722, point, 1440, [("__t", "topic_id")]).select("quote_id", "post_id")
+    owned = timed.join(by_user.select("quote_id", F.col("user_id").alias("__u")), "quote_id")
+    elsewhere = bucketed_range_join(owned.drop("topic_id"), slim, at - 842, at + 722, point, 1440, [("__u", "user_id")]).select("quote_id", "post_id")
+    guest_posts = timed.drop("topic_id").join(by_post.select("quote_id", "post_id"), "quote_id").join(slim.select("post_id", "posted_at"), "post_id")
+    guest_posts = guest_posts.filter(point.between(at - 842, at + 722)).select("quote_id", "post_id")
+    pool = by_author.unionByName(near).unionByName(elsewhere).unionByName(guest_posts).unionByName(top_hits(hits).select("quote_id", "post_id")).distinct()
+    named = quotes.filter("author is not null").select("quote_id", text.name_key(F.col("author")).alias("key")).join(names.select("key").distinct(), "key", "left_semi").select("quote_id", F.lit(True).alias("named"))
+    e = pool.join(quotes.withColumnRenamed("topic_id", "__qt"), "quote_id").join(slim, "post_id").filter("post_id <> container and posted_at is not null")
+    e = e.filter(F.col("before").isNull() | (F.col("posted_at") <= F.col("before") + F.make_interval(mins=F.lit(SLACK))))
+    e = e.join(by_user.withColumnRenamed("score", "__su"), ["quote_id", "user_id"], "left").join(by_post.withColumnRenamed("score", "__sp"), ["quote_id", "post_id"], "left")
+    e = e.join(hits.select("quote_id", "post_id", F.col("hits").alias("__h")), ["quote_id", "post_id"], "left")
+    e = e.join(hits.groupBy("quote_id").agg(F.max("usable").alias("__n")), "quote_id", "left").join(named, "quote_id", "left")
     e = e.select(
         "quote_id", "post_id", "viewer", "posted_at",
-        F.coalesce("score", F.lit(0)).alias("author"),
-        dates.exact_offset(F.col("quoted_at"), F.col("posted_at")).alias("offset"),
-        F.when(F.col("usable") >= LEAST, F.coalesce("h", F.lit(0)) / F.col("usable")).alias("similarity"),
+        F.greatest(F.coalesce("__su", F.lit(0)), F.coalesce("__sp", F.lit(0))).alias("author"),
+        shown_offset(F.col("when"), F.col("quoted_at"), F.col("utc"), F.col("posted_at")).alias("offset"),
+        F.when(F.col("__n") >= LEAST, F.coalesce("__h", F.lit(0)) / F.col("__n")).alias("similarity"),
         (F.col("__qt") == F.col("topic_id")).alias("same_topic"),
         F.coalesce("named", F.lit(False)).alias("named"),
-        F.col("quoted_at").isNotNull().alias("dated_quote"),
+        F.col("when").isNotNull().alias("dated_quote"),
         F.col("quoted_at").isNotNull().alias("exact_quote"),
     )
-    learned = habits(e) if usual is None else usual.unionByName(habits(e)).distinct()
-    return decide(e, learned), e
+    e = materialized(e, "quote-evidence")
+    new = lessons(e)
+    learned = new if learned is None else learned.unionByName(new)
+    given = quotes.filter("post_ref is not null").select("quote_id", F.col("post_ref").alias("post_id")).join(posts.select(F.col("id").alias("post_id")), "post_id", "left_semi")
+    given = given.select("quote_id", "post_id", F.lit("post-id").alias("match"), F.lit(None).cast("long").alias("similarity"), F.lit(None).cast("long").alias("offset"))
+    weighed = decide(e, usual(learned)).join(given, "quote_id", "left_anti")
+    return given.unionByName(weighed.withColumn("offset", F.col("offset").cast("long"))), learned
+
+
+def link_quotes(quotes: DataFrame, posts: DataFrame, names: DataFrame, guests: DataFrame | None = None) -> DataFrame:
+    """post_id, position, level, parent, author, date, quoted_post_id, quoted_user_id, match, similarity, tz_offset of every quote.
+
+    ``quotes`` as ``markup.quotes_of`` gives them; ``posts``: id, topic_id, user_id,
+    posted_at, text (its own words).  Levels follow each other, each written to the
+    shared folder: a nested quote is no later than the post that its parent was
+    matched to, and is shown in the zone of that post's author.
+    """
+    keyed = read_dates(quotes).withColumn("quote_id", F.concat_ws(":", "post_id", "position"))
+    holders = posts.select(F.col("id").alias("post_id"), "topic_id", F.col("user_id").alias("__viewer"), F.col("posted_at").alias("__at"))
+    keyed = materialized(keyed.join(holders, "post_id"), "quotes")
+    wanted = wanted_trigrams(keyed)
+    hits = materialized(text_hits(wanted, postings(posts, wanted, F.col("text"))), "quote-hits")
+    deepest = keyed.agg(F.max("level")).first()[0] or 0  # one number
+    found, learned = None, None
+    for level in range(1, deepest + 1):
+        own = keyed.filter(F.col("level") == level).withColumnRenamed("post_id", "container")
+        before, viewer = F.col("__at"), F.col("__viewer")
+        if found is not None:
+            parents = found.filter("post_id is not null").select(F.col("quote_id").alias("__parent"), "post_id").join(holders.select("post_id", F.col("__at").alias("__pt"), F.col("__viewer").alias("__pv")), "post_id").drop("post_id")
+            own = own.join(parents, F.concat_ws(":", "container", "parent") == F.col("__parent"), "left")
+            matched = F.col("__parent").isNotNull()
+            before, viewer = F.when(matched, F.col("__pt")).otherwise(before), F.when(matched, F.col("__pv")).otherwise(viewer)
+        own = own.select("quote_id", "container", "topic_id", "author", "when", "quoted_at", "utc", "post_ref", "user_ref", before.alias("before"), viewer.alias("viewer"))
+        mine = hits.join(own.select("quote_id"), "quote_id", "left_semi")
+        decided, learned = link_level(own, posts.drop("text"), names, mine, learned, guests)
+        learned = materialized(learned, "quote-lessons")
+        decided = materialized(decided, "quote-decisions")
+        found = decided if found is None else found.unionByName(decided)
+    if found is None:
+        found = decide_schema(quotes)
+    # Without a post, the user that the tag or a name of one user alone gives.
+    alone = names.groupBy("key").agg(F.min("user_id").alias("__one"), F.count_distinct("user_id").alias("__n")).filter("__n = 1").select("key", "__one")
+    out = keyed.join(found.withColumnRenamed("post_id", "quoted_post_id"), "quote_id", "left").withColumn("key", text.name_key(F.col("author"))).join(alone, "key", "left")
+    out = out.join(posts.select(F.col("id").alias("quoted_post_id"), F.nullif("user_id", F.lit(0)).alias("__quoted")), "quoted_post_id", "left")
+    user = F.when(F.col("quoted_post_id").isNotNull(), F.col("__quoted")).otherwise(F.coalesce("user_ref", "__one"))
+    return out.select("post_id", "position", "level", "parent", "author", "date", "quoted_post_id", user.alias("quoted_user_id"), "match", "similarity", F.col("offset").alias("tz_offset"))
+
+
+def decide_schema(quotes: DataFrame) -> DataFrame:
+    """No decisions at all."""
+    return quotes.sparkSession.createDataFrame([], "quote_id string, post_id long, match string, similarity long, offset long")

@@ -58,8 +58,7 @@ def asof_by_blocks(points: DataFrame, known: DataFrame, id_column: str = "id", t
     block = F.floor(F.col(id_column) / width)
     ends = known.withColumn("__b", block).groupBy("__b").agg(F.min_by(time_column, id_column).alias("first"), F.max_by(time_column, id_column).alias("last"))
     asked = points.select(block.alias("__b")).distinct().join(ends, "__b", "full_outer")
-    over = Window.orderBy("__b")
-    ends = asked.select("__b", F.last("last", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1)).alias("__before"), F.first("first", ignorenulls=True).over(over.rowsBetween(1, Window.unboundedFollowing)).alias("__behind"))
+    ends = carried(asked, "__b", "last", "first").select("__b", F.col("before").alias("__before"), F.col("behind").alias("__behind"))
     rows = points.withColumn("__b", block).withColumn("__t", F.lit(None).cast("timestamp_ntz")).withColumn("__p", F.lit(0))
     marks = known.select(F.col(id_column), block.alias("__b"), F.col(time_column).alias("__t"), F.lit(1).alias("__p"))
     both = rows.unionByName(marks, allowMissingColumns=True)
@@ -72,6 +71,41 @@ def asof_by_blocks(points: DataFrame, known: DataFrame, id_column: str = "id", t
     return out.withColumn("__l", F.when(fine, F.col("low"))).withColumn("high", F.when(fine, F.col("high"))).withColumn("low", F.col("__l")).drop("__b", "__low", "__high", "__before", "__behind", "__l")
 
 
+def carried(blocks: DataFrame, block: str, last: str, first: str, width: int = 4096) -> DataFrame:
+    """block, before, behind: the nearest ``last`` of an earlier and ``first`` of a later block that has one.
+
+    Two levels: windows run within ``width`` blocks, and over one row for each
+    ``width`` blocks, so that no task orders more than a share of the blocks.
+    """
+    group = F.floor(F.col(block) / width)
+    rows = blocks.select(block, F.col(last).alias("__last"), F.col(first).alias("__first"), group.alias("__g"))
+    tops = rows.groupBy("__g").agg(F.max_by("__last", F.when(F.col("__last").isNotNull(), F.col(block))).alias("l"), F.min_by("__first", F.when(F.col("__first").isNotNull(), F.col(block))).alias("f"))
+    over, own = Window.orderBy("__g"), Window.partitionBy("__g").orderBy(block)
+
+    def two(w, a: str, z: str) -> list[Column]:
+        return [F.last(a, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.first(z, ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))]
+
+    (low, high), (before, behind) = two(over, "l", "f"), two(own, "__last", "__first")
+    tops = tops.select("__g", low.alias("__low"), high.alias("__high"))
+    joined = rows.select(block, "__g", before.alias("b"), behind.alias("n")).join(tops, "__g")
+    return joined.select(block, F.coalesce("b", "__low").alias("before"), F.coalesce("n", "__high").alias("behind"))
+
+
+def following(rows: DataFrame, key: str, columns: list[str], width: int = 65_536) -> DataFrame:
+    """The rows with ``next_<column>`` of the row with the next larger whole number in ``key``.
+
+    A lead within blocks of keys; a block's last row gets the first row of the next block that has any.
+    """
+    kept = F.struct(*(F.col(c).alias(c) for c in columns))
+    cut = rows.withColumn("__b", F.floor(F.col(key) / width)).withColumn("__own", kept)
+    heads = cut.groupBy("__b").agg(F.min_by("__own", key).alias("first")).withColumn("last", F.col("first"))
+    behind = carried(heads, "__b", "last", "first").select("__b", "behind")
+    ahead = F.lead("__own").over(Window.partitionBy("__b").orderBy(key))
+    joined = cut.withColumn("__next", ahead).join(behind, "__b")
+    found = F.coalesce("__next", "behind")
+    return joined.select(*rows.columns, *(found[c].alias(f"next_{c}") for c in columns))
+
+
 def minute_join(old: DataFrame, new: DataFrame, topic: str = "topic_id", old_time: str = "posted_at", new_time: str = "posted_at") -> DataFrame:
     """old_id, new_id, match of rows alone in their topic and minute on both sides."""
     a = old.select(F.col("id").alias("old_id"), F.col(topic).alias("t"), F.date_trunc("minute", old_time).alias("m"))
@@ -87,8 +121,7 @@ def position_fill(anchors: DataFrame, old: DataFrame, new: DataFrame) -> DataFra
     ``anchors`` has old_pos, new_pos (increasing in both); ``old`` and ``new`` have
     pos and id.
     """
-    ahead = Window.orderBy("old_pos")
-    gaps = anchors.withColumn("next_old", F.lead("old_pos").over(ahead)).withColumn("next_new", F.lead("new_pos").over(ahead))
+    gaps = following(anchors, "old_pos", ["old_pos", "new_pos"]).withColumnsRenamed({"next_old_pos": "next_old", "next_new_pos": "next_new"})
     gaps = gaps.filter((F.col("next_old") - F.col("old_pos") == F.col("next_new") - F.col("new_pos")) & (F.col("next_old") > F.col("old_pos") + 1))
     steps = gaps.select("old_pos", "new_pos", F.explode(F.sequence(F.lit(1).cast("long"), F.col("next_old") - F.col("old_pos") - 1)).alias("k"))
     pairs = steps.select((F.col("old_pos") + F.col("k")).alias("op"), (F.col("new_pos") + F.col("k")).alias("np"))

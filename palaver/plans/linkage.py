@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from palaver.functions import markup
+from palaver.functions import markup, text
 from palaver.operators import members, quotes
 from palaver.plans.registry import Board, query
 
@@ -35,9 +35,9 @@ def _(b: Board):
     return benchmark_hits(b).select("quote_id", "post_id", "hits", "usable", F.round("similarity", 6).alias("similarity"))
 
 
-@query("w9_top_text_candidates", "", f"WITH {_HITS} SELECT quote_id, post_id, hits FROM h QUALIFY row_number() OVER (PARTITION BY quote_id ORDER BY hits DESC, post_id) <= 5")
+@query("w9_top_text_candidates", "", f"WITH {_HITS} SELECT quote_id, post_id, hits FROM h QUALIFY row_number() OVER (PARTITION BY quote_id ORDER BY hits DESC, post_id) <= 20")
 def _(b: Board):
-    return quotes.top_hits(benchmark_hits(b), 5).select("quote_id", "post_id", "hits")
+    return quotes.top_hits(benchmark_hits(b)).select("quote_id", "post_id", "hits")
 
 
 _EV = """ev AS (SELECT p.id AS quote_id, q.id AS post_id, p.user_id % 20 AS viewer, q.posted_at, CAST(q.id % 3 AS INT) AS author,
@@ -88,21 +88,24 @@ def _(b: Board):
     return quotes.zone_candidates(asked, posted)
 
 
-@query("l1_parsed_quotes", "quoting", "SELECT post_id, 0 AS position, 1 AS level, author, CAST(quoted_at AS STRING) AS date, length(body)::INT AS n FROM quoting")
+@query("l1_parsed_quotes", "quoting", """
+SELECT post_id, 0 AS position, 1 AS level, CAST(NULL AS INT) AS parent, author, CAST(quoted_at AS STRING) AS date, (length(body) + CASE WHEN nested THEN 1 ELSE 0 END)::INT AS n FROM quoting
+UNION ALL SELECT post_id, 1, 2, 0, 'Al', NULL, 4 FROM quoting WHERE nested
+UNION ALL SELECT post_id, CASE WHEN nested THEN 2 ELSE 1 END, 1, NULL, 'Bo', 'Nov 4 2005', 0 FROM quoting WHERE contains(source, '[quote=Bo')""")
 def _(b: Board):
     found = markup.quotes_of(b.quoting.withColumnRenamed("post_id", "id"))
-    return found.select("post_id", "position", "level", "author", "date", F.char_length("body").alias("n"))
+    return found.select("post_id", "position", "level", "parent", "author", "date", F.char_length("body").alias("n"))
 
 
 @query("l1_linked_quotes")
 def _(b: Board):
-    """Quotes of the synthetic quoting posts, linked to the documents they quote."""
-    texts = b.documents.select(F.col("doc_id").alias("id"), F.lit(0).cast("long").alias("topic_id"), (F.col("doc_id") % 1500).alias("user_id"), F.timestamp_seconds(F.col("doc_id") * 3600 + 600_000_000).cast("timestamp_ntz").alias("posted_at"), "text")
-    parsed = markup.quotes_of(b.quoting.withColumnRenamed("post_id", "id")).withColumn("topic_id", F.lit(0).cast("long"))
-    asked = parsed.select((F.col("post_id") * 100 + F.col("position")).alias("quote_id"), (-F.col("post_id")).alias("container"), "topic_id", "author", F.to_timestamp_ntz("date").alias("quoted_at"), F.lit(None).cast("timestamp_ntz").alias("before"), F.col("post_id").alias("viewer"), "body")
-    wanted = quotes.wanted_trigrams(asked)
-    hits = quotes.text_hits(wanted, quotes.postings(texts, wanted, F.col("text")))
-    return quotes.link_level(asked.drop("body"), texts.drop("text"), b.users, hits)[0]
+    """Quotes of the quoting posts, linked to the documents they quote; both lie in the same topics."""
+    clock = F.timestamp_seconds(F.col("doc_id") * 3600 + 600_000_000).cast("timestamp_ntz")
+    texts = b.documents.select(F.col("doc_id").alias("id"), (F.col("n_chars") % 100).cast("long").alias("topic_id"), F.col("doc_id").alias("user_id"), clock.alias("posted_at"), "text")
+    later = b.quoting.select((-F.col("post_id")).alias("id"), "topic_id", F.col("post_id").alias("user_id"), F.lit("2020-01-01").cast("timestamp_ntz").alias("posted_at"), "source")
+    posts = texts.unionByName(later.withColumn("text", markup.own_text("source")).drop("source"))
+    names = b.users.select(F.col("id").alias("user_id"), text.name_key(F.col("name")).alias("key"))
+    return quotes.link_quotes(markup.quotes_of(later), posts, names)
 
 
 @query("l3_link_members")

@@ -44,10 +44,10 @@ def _(b: Board):
     return ids.assign_ids(found.limit(0).select("url", F.lit(0).cast("long").alias("id")), found, "url", [F.desc("uses"), "url"])
 
 
-@query("a14_refreshed_uses", "markup_posts files", f"""WITH {_EMB}, k AS (SELECT 'http://smile.example/' || id || '.gif' AS url, signature_uses, post_uses FROM files WHERE id < 10), n AS (SELECT url, count(*) AS n FROM e GROUP BY url)
+@query("a14_refreshed_uses", "markup_posts files", f"""WITH {_EMB}, k AS (SELECT 'http://smile.example/' || id || '.gif' AS url, signature_uses, post_uses FROM files WHERE kind = 'image'), n AS (SELECT url, count(*) AS n FROM e GROUP BY url)
 SELECT coalesce(k.url, n.url) AS url, coalesce(k.signature_uses, 0) AS signature_uses, coalesce(n.n, 0) AS post_uses FROM k FULL JOIN n ON n.url = k.url""")
 def _(b: Board):
-    known = b.files.filter("id < 10").select(F.concat(F.lit("http://smile.example/"), F.col("id").cast("string"), F.lit(".gif")).alias("url"), "signature_uses", "post_uses")
+    known = b.files.filter("kind = 'image'").select(F.concat(F.lit("http://smile.example/"), F.col("id").cast("string"), F.lit(".gif")).alias("url"), "signature_uses", "post_uses")
     each = texts.best_texts(b.markup_posts, with_html=False).filter(F.col("text").ilike("%[img]%")).select("id", F.explode(F.regexp_extract_all("text", F.lit(texts.IMG), F.lit(1))).alias("url"))
     return texts.refresh_uses(known, each, "post")
 
@@ -96,17 +96,16 @@ def _(b: Board):
     return merge_dumps([captures]).groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
 
 
-@query("f5_pending_profiles", "users state", "SELECT id FROM users WHERE id % 2 = 0 AND id NOT IN (SELECT TRY_CAST(substr(key, 6) AS BIGINT) FROM state WHERE starts_with(key, 'poll:'))")
+@query("f5_pending_profiles", "users state", "SELECT id FROM users WHERE id NOT IN (SELECT TRY_CAST(substr(key, 6) AS BIGINT) FROM state WHERE starts_with(key, 'poll:'))")
 def _(b: Board):
     done = pending.states(b.state, "poll:").select(F.col("suffix").try_cast("bigint").alias("id"))
-    return b.users.filter("id % 2 = 0").select("id").join(done, "id", "left_anti")
+    return b.users.select("id").join(done, "id", "left_anti")
 
 
-@query("f6_pending_sources", "markup_posts", "SELECT id FROM markup_posts WHERE source IS NULL AND topic_id < 10 AND id % 12 <> 0")
+@query("f6_pending_sources", "markup_posts", "SELECT id FROM markup_posts WHERE source IS NULL AND source_fixed IS NOT NULL")
 def _(b: Board):
-    gaps = b.markup_posts.filter("id % 12 = 0").select(F.concat(F.lit("source-gap:"), F.col("id").cast("string")).alias("key"), F.lit("x").alias("value"))
-    few = b.spark.range(10)
-    return pending.sources(b.markup_posts, gaps, few)
+    gaps = b.markup_posts.filter("source_fixed is null").select(F.concat(F.lit("source-gap:"), F.col("id").cast("string")).alias("key"), F.lit("x").alias("value"))
+    return pending.sources(b.markup_posts, gaps)
 
 
 @query("f12_may_reference", "markup_posts", "SELECT id FROM markup_posts WHERE contains(coalesce(source_fixed, source), 'smile.example/1') OR contains(coalesce(source_fixed, source), 'smile.example/2')")
@@ -120,9 +119,9 @@ def _(b: Board):
     return b.orders.select("o_orderkey", (F.col("o_orderdate") >= F.lit("1997-03-01").cast("timestamp_ntz")).alias("lossy"))
 
 
-@query("j6_avatars_not_recovered", "users files", "SELECT id FROM users u WHERE id % 3 = 0 AND NOT EXISTS (SELECT 1 FROM files f WHERE f.id = u.id AND f.data IS NOT NULL)")
+@query("j6_avatars_not_recovered", "users files", "SELECT id FROM users u WHERE NOT EXISTS (SELECT 1 FROM files f WHERE f.id = u.id AND f.data IS NOT NULL)")
 def _(b: Board):
-    return b.users.filter("id % 3 = 0").select("id").join(b.files.filter("data is not null").select("id"), "id", "left_anti")
+    return b.users.select("id").join(b.files.filter("data is not null").select("id"), "id", "left_anti")
 
 
 @query("j11_attachment_topics", "files posts", "SELECT f.id, p.topic_id FROM files f JOIN posts p ON p.id = f.first_post_id")
@@ -145,12 +144,13 @@ def _(b: Board):
 
 
 @query("l6_interpolated", "posts", """
-WITH known AS (SELECT id, posted_at AS ts FROM posts WHERE id % 7 = 0), q AS (SELECT id, topic_id FROM posts WHERE id % 5 = 1 AND id % 7 <> 0),
-w AS (SELECT q.*, (SELECT arg_max(ts, k.id) FROM known k WHERE k.id < q.id) AS lo, (SELECT arg_min(ts, k.id) FROM known k WHERE k.id >= q.id) AS hi FROM q)
+WITH known AS (SELECT id, posted_at AS ts FROM posts WHERE status = 'F' AND flag = 'R'), q AS (SELECT id, topic_id FROM posts),
+v AS (SELECT q.*, max(k.id) OVER (ORDER BY q.id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lk, min(k.id) OVER (ORDER BY q.id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS hk FROM q LEFT JOIN known k ON k.id = q.id),
+w AS (SELECT v.id, v.topic_id, a.ts AS lo, z.ts AS hi FROM v JOIN known a ON a.id = v.lk JOIN known z ON z.id = v.hk WHERE v.id NOT IN (SELECT id FROM known))
 SELECT w.id AS old_id, min(p.id) AS post_id FROM w JOIN posts p ON p.topic_id = w.topic_id AND p.posted_at BETWEEN w.lo AND w.hi WHERE w.lo <= w.hi GROUP BY w.id HAVING count(*) = 1""")
 def _(b: Board):
-    known = b.posts.filter("id % 7 = 0").select("id", F.col("posted_at").alias("ts"))
-    asked = b.posts.filter("id % 5 = 1 and id % 7 <> 0").select("id", "topic_id")
+    known = b.posts.filter("status = 'F' and flag = 'R'").select("id", F.col("posted_at").alias("ts"))
+    asked = b.posts.filter("not (status = 'F' and flag = 'R')").select("id", "topic_id")
     bounded = ranges.asof_by_blocks(asked, known).filter("low is not null").withColumnRenamed("id", "old_id")
     found = bounded.join(b.posts.select(F.col("id").alias("post_id"), "topic_id", "posted_at"), "topic_id").filter(F.col("posted_at").between(F.col("low"), F.col("high")))
     return found.groupBy("old_id").agg(F.count("*").alias("n"), F.min("post_id").alias("post_id")).filter("n = 1").drop("n")
@@ -170,9 +170,10 @@ def _(b: Board):
     return names.unique_names(keyed).select("key", "id")
 
 
-@query("w8_anchor_gaps", "users", "SELECT id, lead(id) OVER (ORDER BY id) - id AS gap FROM users WHERE id % 10 = 0")
+@query("w8_anchor_gaps", "users", "SELECT id, lead(id) OVER (ORDER BY id) - id AS gap FROM users WHERE group_name = 'BUILDING'")
 def _(b: Board):
-    return b.users.filter("id % 10 = 0").select("id", (F.lead("id").over(Window.orderBy("id")) - F.col("id")).alias("gap"))
+    anchors = b.users.filter("group_name = 'BUILDING'").select("id")
+    return ranges.following(anchors, "id", ["id"]).select("id", (F.col("next_id") - F.col("id")).alias("gap"))
 
 
 @query("w13_latest_nonempty", "", "SELECT user_id, arg_max(props, event_id) FILTER (WHERE event_type <> 'error') AS props FROM events GROUP BY user_id")
@@ -183,16 +184,15 @@ def _(b: Board):
 
 @query("w13_ordered_fold", "", "SELECT user_id, count(*)::BIGINT AS changes FROM (SELECT user_id FROM events QUALIFY lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS DISTINCT FROM event_type) GROUP BY user_id")
 def _(b: Board):
-    def fold(rows):
-        import pandas as pd
+    return history.collapse_runs(b.events.select("user_id", "event_type", "ts", "event_id"), ["user_id"], ["ts", "event_id"], "event_type").groupBy("user_id").agg(F.count("*").alias("changes"))
 
-        kinds = rows["event_type"].tolist()
-        return pd.DataFrame({"user_id": [rows["user_id"].iloc[0]], "changes": [sum(x != y for x, y in zip(kinds, [None, *kinds]))]})
 
-    return history.ordered_fold(b.events.select("user_id", "event_type", "ts", "event_id"), "user_id", ["ts", "event_id"], "user_id long, changes long", fold)
+_FIXES = """
+WITH h AS (SELECT regexp_matches(source, concat('\\[\\w+=[^\\]\\n]*', chr(39), '>\\]')) AS leak, contains(source, '[url=' || chr(39)) AS url, contains(source, '[img]' || chr(39)) AS img, contains(source, '[size=100]') OR contains(source, '[b]QUOTE[/b]') AS blocks FROM quoting)
+SELECT 'attribute-leak' AS fix, count(*) AS posts FROM h WHERE leak UNION ALL SELECT 'quoted-url', count(*) FROM h WHERE url UNION ALL SELECT 'quoted-img', count(*) FROM h WHERE img UNION ALL SELECT 'blocks', count(*) FROM h WHERE blocks"""
 
 
-@query("a18_fix_report", "quoting", "SELECT 'blocks' AS fix, count(*) AS posts FROM quoting")
+@query("a18_fix_report", "quoting", _FIXES)
 def _(b: Board):
     from palaver.functions.markup import fix
 
@@ -226,8 +226,9 @@ def _(b: Board):
     return b.users.select("id", user_key(F.when(k == 0, F.col("id")), F.when(k == 1, F.col("id"))).alias("key"))
 
 
-@query("x27_partial_zones", "topics", "SELECT id, CAST(0 AS INT) AS tz FROM topics")
+@query("x27_partial_zones", "topics", "SELECT id, CAST(CASE WHEN has_poll IS NULL THEN 0 WHEN has_poll THEN 330 ELSE -300 END AS INT) AS tz FROM topics")
 def _(b: Board):
-    t = F.col("listed_at")
-    when = F.struct(F.year(t).alias("year"), F.month(t).alias("month"), F.day(t).alias("day"), F.lit(None).cast("int").alias("hour"), F.lit(None).cast("int").alias("minute"))
-    return b.topics.select("id", dates.partial_offset(when, t).cast("int").alias("tz"))
+    shift = F.when(F.col("has_poll").isNull(), 0).when(F.col("has_poll"), 330).otherwise(-300)
+    shown = F.col("listed_at") + F.make_interval(mins=shift)
+    when = F.struct(F.year(shown).alias("year"), F.lit(None).cast("int").alias("month"), F.day(shown).alias("day"), F.hour(shown).alias("hour"), F.minute(shown).alias("minute"))
+    return b.topics.select("id", dates.partial_offset(when, F.col("listed_at")).cast("int").alias("tz"))

@@ -196,9 +196,9 @@ def _(b: Board):
 
 
 @query("f4_pending_users", "topics posts users", """
-SELECT DISTINCT id FROM (SELECT user_id AS id FROM posts UNION SELECT user_id FROM topics) WHERE id > 0 AND id NOT IN (SELECT id FROM users WHERE id % 3 = 0)""")
+SELECT DISTINCT id FROM (SELECT user_id AS id FROM posts UNION SELECT user_id FROM topics) WHERE id > 0 AND id NOT IN (SELECT id FROM users WHERE group_name <> 'BUILDING')""")
 def _(b: Board):
-    return pending.users([b.posts, b.topics], b.users.filter("id % 3 = 0").select("id"))
+    return pending.users([b.posts, b.topics], b.users.filter("group_name <> 'BUILDING'").select("id"))
 
 
 @query("f7_pending_polls", "topics polls state", """
@@ -283,13 +283,14 @@ def _(b: Board):
 
 
 @query("j18_asof_window", "posts", """
-WITH known AS (SELECT id, posted_at AS ts FROM posts WHERE id % 7 = 0), q AS (SELECT id FROM posts WHERE id % 5 = 1),
-w AS (SELECT q.id, (SELECT arg_max(ts, k.id) FROM known k WHERE k.id < q.id) AS lo, (SELECT arg_min(ts, k.id) FROM known k WHERE k.id >= q.id) AS hi FROM q)
-SELECT id, CASE WHEN lo <= hi THEN lo END AS low, CASE WHEN lo <= hi THEN hi END AS high FROM w""")
+WITH known AS (SELECT id, posted_at AS ts FROM posts WHERE status = 'F' AND flag = 'R'), q AS (SELECT id FROM posts),
+w AS (SELECT q.id, max(k.id) OVER (ORDER BY q.id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lk, min(k.id) OVER (ORDER BY q.id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS hk FROM q LEFT JOIN known k ON k.id = q.id),
+x AS (SELECT w.id, a.ts AS lo, z.ts AS hi FROM w LEFT JOIN known a ON a.id = w.lk LEFT JOIN known z ON z.id = w.hk)
+SELECT id, CASE WHEN lo <= hi THEN lo END AS low, CASE WHEN lo <= hi THEN hi END AS high FROM x""")
 def _(b: Board):
     # One topic's ids lie together: dealing by blocks of ids would cut windows, so all marks run in id order.
-    known = b.posts.filter("id % 7 = 0").select("id", F.col("posted_at").alias("ts"))
-    return ranges.asof_by_blocks(b.posts.filter("id % 5 = 1").select("id"), known)
+    known = b.posts.filter("status = 'F' and flag = 'R'").select("id", F.col("posted_at").alias("ts"))
+    return ranges.asof_by_blocks(b.posts.select("id"), known)
 
 
 @query("j20_time_range_join", "posts topics", """
@@ -303,35 +304,35 @@ def _(b: Board):
 
 
 @query("j22_name_join", "users", """
-WITH k AS (SELECT id, lower(name) AS n FROM users), q AS (SELECT id, substr(lower(name), 1, 16) AS n FROM users WHERE id % 10 = 0)
-SELECT q.id AS q_id, k.id, CASE WHEN q.n = k.n THEN 2 ELSE 1 END AS score FROM q JOIN k ON q.n = k.n OR (length(q.n) >= 3 AND length(k.n) >= 3
- AND abs(length(q.n) - length(k.n)) <= greatest(length(q.n), length(k.n)) * 0.3 + 2 AND (starts_with(k.n, q.n) OR starts_with(q.n, k.n)))""")
+WITH k AS (SELECT id, lower(name) AS n FROM users), q AS (SELECT id, CASE WHEN group_name = 'BUILDING' THEN lower(name) ELSE substr(lower(name), 1, 16) END AS n FROM users)
+SELECT q.id AS q_id, k.id, CASE WHEN q.n = k.n THEN 2 ELSE 1 END AS score FROM q JOIN k ON substr(q.n, 1, 12) = substr(k.n, 1, 12) AND (q.n = k.n OR (length(q.n) >= 3 AND length(k.n) >= 3
+ AND abs(length(q.n) - length(k.n)) <= greatest(length(q.n), length(k.n)) * 0.3 + 2 AND (starts_with(k.n, q.n) OR starts_with(q.n, k.n))))""")
 def _(b: Board):
     from palaver.operators.names import name_pairs
 
-    asked = b.users.filter("id % 10 = 0").select(F.col("id").alias("q_id"), F.substring(F.lower("name"), 1, 16).alias("key"))
+    asked = b.users.select(F.col("id").alias("q_id"), F.when(F.col("group_name") == "BUILDING", F.lower("name")).otherwise(F.substring(F.lower("name"), 1, 16)).alias("key"))
     return name_pairs(asked, b.users.select("id", F.lower("name").alias("key"))).select("q_id", "id", "score")
 
 
 @query("j23_position_fill", "users", """
-WITH o AS (SELECT id, row_number() OVER (ORDER BY id) AS pos FROM users), n AS (SELECT id + 100 AS id, row_number() OVER (ORDER BY id) AS pos FROM users WHERE id % 50 <> 49),
-a AS (SELECT o.pos AS op, n.pos AS np FROM o JOIN n ON n.id = o.id + 100 WHERE o.id % 10 = 0),
+WITH o AS (SELECT id, row_number() OVER (ORDER BY id) AS pos FROM users), n AS (SELECT id + 100 AS id, row_number() OVER (ORDER BY id) AS pos FROM users WHERE group_name <> 'FURNITURE'),
+a AS (SELECT o.pos AS op, n.pos AS np FROM o JOIN n ON n.id = o.id + 100 JOIN users u ON u.id = o.id WHERE u.group_name = 'BUILDING'),
 g AS (SELECT *, lead(op) OVER (ORDER BY op) AS nop, lead(np) OVER (ORDER BY op) AS nnp FROM a)
 SELECT o.id AS old_id, n.id AS new_id, 'position' AS match FROM g JOIN o ON o.pos > g.op AND o.pos < g.nop JOIN n ON n.pos - g.np = o.pos - g.op WHERE g.nop - g.op = g.nnp - g.np""")
 def _(b: Board):
     old = upsert.number_rows(b.users.select("id"), ["id"], "pos")
-    new = upsert.number_rows(b.users.filter("id % 50 <> 49").select((F.col("id") + 100).alias("id")), ["id"], "pos")
-    anchors = old.filter("id % 10 = 0").select(F.col("pos").alias("old_pos"), (F.col("id") + 100).alias("k")).join(new.select(F.col("id").alias("k"), F.col("pos").alias("new_pos")), "k").select("old_pos", "new_pos")
+    new = upsert.number_rows(b.users.filter("group_name <> 'FURNITURE'").select((F.col("id") + 100).alias("id")), ["id"], "pos")
+    anchors = old.join(b.users.filter("group_name = 'BUILDING'").select("id"), "id", "left_semi").select(F.col("pos").alias("old_pos"), (F.col("id") + 100).alias("k")).join(new.select(F.col("id").alias("k"), F.col("pos").alias("new_pos")), "k").select("old_pos", "new_pos")
     return ranges.position_fill(anchors, old, new)
 
 
 @query("j24_members_by_posts", "posts", """
-WITH p AS (SELECT part_id AS member, user_id FROM posts WHERE user_id <> 0), m AS (SELECT member, min(user_id) AS user_id FROM p GROUP BY member HAVING count(DISTINCT user_id) = 1)
+WITH p AS (SELECT topic_id AS member, part_id AS user_id FROM posts WHERE flag = 'R' AND quantity >= 47), m AS (SELECT member, min(user_id) AS user_id FROM p GROUP BY member HAVING count(DISTINCT user_id) = 1)
 SELECT member, user_id FROM m QUALIFY count(*) OVER (PARTITION BY user_id) = 1""")
 def _(b: Board):
     from palaver.operators.names import sole_owner
 
-    return sole_owner(b.posts.filter("user_id <> 0").select(F.col("part_id").alias("member"), "user_id"), "member", "user_id")
+    return sole_owner(b.posts.filter("flag = 'R' and quantity >= 47").select(F.col("topic_id").alias("member"), F.col("part_id").alias("user_id")), "member", "user_id")
 
 
 @query("j26_window_targets", "posts files", """
@@ -384,12 +385,12 @@ def _(b: Board):
 # Windows, sorts, trees
 
 @query("w1_stable_ids", "post_rows", """
-WITH u AS (SELECT part_id, count(*) AS uses FROM post_rows GROUP BY part_id), k AS (SELECT part_id, part_id + 5 AS id FROM u WHERE part_id % 3 = 0), t AS (SELECT coalesce(max(id), 0) AS top FROM k)
+WITH u AS (SELECT part_id, count(*) AS uses FROM post_rows GROUP BY part_id), k AS (SELECT part_id, part_id + 5 AS id FROM u WHERE uses % 3 = 0), t AS (SELECT coalesce(max(id), 0) AS top FROM k)
 SELECT u.part_id, u.uses, k.id FROM u JOIN k USING (part_id)
-UNION ALL SELECT u.part_id, u.uses, t.top + row_number() OVER (ORDER BY u.uses DESC, u.part_id) FROM u, t WHERE u.part_id % 3 <> 0""")
+UNION ALL SELECT u.part_id, u.uses, t.top + row_number() OVER (ORDER BY u.uses DESC, u.part_id) FROM u, t WHERE u.uses % 3 <> 0""")
 def _(b: Board):
     found = b.post_rows.groupBy("part_id").agg(F.count("*").alias("uses"))
-    known = found.filter("part_id % 3 = 0").select("part_id", (F.col("part_id") + 5).alias("id"))
+    known = found.filter("uses % 3 = 0").select("part_id", (F.col("part_id") + 5).alias("id"))
     return ids.assign_ids(known, found, "part_id", [F.desc("uses"), "part_id"])
 
 
@@ -417,10 +418,10 @@ def _(b: Board):
     return history.latest(b.events.select("user_id", "event_type", "ts", "event_id"), ["user_id", "event_type"], "ts", ["event_id"])
 
 
-@query("w10_last_of_topic", "posts", "SELECT topic_id, id FROM posts QUALIFY row_number() OVER (PARTITION BY topic_id ORDER BY posted_at DESC, id DESC) <= 2")
+@query("w10_last_of_topic", "posts", "SELECT topic_id, id FROM posts QUALIFY row_number() OVER (PARTITION BY topic_id ORDER BY posted_at DESC, id DESC) <= 500")
 def _(b: Board):
     ranked = b.posts.withColumn("r", F.row_number().over(Window.partitionBy("topic_id").orderBy(F.desc("posted_at"), F.desc("id"))))
-    return ranked.filter("r <= 2").select("topic_id", "id")
+    return ranked.filter("r <= 500").select("topic_id", "id")
 
 
 @query("w14_changed_captures", "", "SELECT event_id FROM (SELECT event_id, event_type, first(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS f FROM events) WHERE f <> event_type")
@@ -458,30 +459,30 @@ def _(b: Board):
 # Writes
 
 @query("d1_upsert", "topics", """
-WITH n AS (SELECT id + 5 AS id, view_count + 1 AS view_count FROM topics WHERE id % 4 = 0)
+WITH n AS (SELECT id + 5 AS id, view_count + 1 AS view_count FROM topics WHERE stickied)
 SELECT coalesce(t.id, n.id) AS id, t.forum_id, CASE WHEN n.id IS NOT NULL THEN n.view_count ELSE t.view_count END AS view_count FROM topics t FULL JOIN n ON n.id = t.id""")
 def _(b: Board):
-    new = b.topics.filter("id % 4 = 0").select((F.col("id") + 5).alias("id"), (F.col("view_count") + 1).alias("view_count"))
+    new = b.topics.filter("stickied").select((F.col("id") + 5).alias("id"), (F.col("view_count") + 1).alias("view_count"))
     return upsert.upsert(b.topics.select("id", "forum_id", "view_count"), new, ["id"])
 
 
 @query("d2_update", "topics", """
-WITH n AS (SELECT id + 5 AS id, view_count + 1 AS view_count FROM topics WHERE id % 4 = 0)
+WITH n AS (SELECT id + 5 AS id, view_count + 1 AS view_count FROM topics WHERE stickied)
 SELECT t.id, t.forum_id, CASE WHEN n.id IS NOT NULL THEN n.view_count ELSE t.view_count END AS view_count FROM topics t LEFT JOIN n ON n.id = t.id""")
 def _(b: Board):
-    new = b.topics.filter("id % 4 = 0").select((F.col("id") + 5).alias("id"), (F.col("view_count") + 1).alias("view_count"))
+    new = b.topics.filter("stickied").select((F.col("id") + 5).alias("id"), (F.col("view_count") + 1).alias("view_count"))
     return upsert.update(b.topics.select("id", "forum_id", "view_count"), new, ["id"])
 
 
 @query("d3_insert_numbered", "users", """
-SELECT id, name FROM users UNION ALL SELECT (SELECT max(id) FROM users) + row_number() OVER (ORDER BY name), name FROM (SELECT name || '!' AS name FROM users WHERE id % 10 = 3)""")
+SELECT id, name FROM users UNION ALL SELECT (SELECT max(id) FROM users) + row_number() OVER (ORDER BY name), name FROM (SELECT name || '!' AS name FROM users WHERE group_name = 'BUILDING')""")
 def _(b: Board):
-    new = b.users.filter("id % 10 = 3").select(F.concat("name", F.lit("!")).alias("name"))
+    new = b.users.filter("group_name = 'BUILDING'").select(F.concat("name", F.lit("!")).alias("name"))
     return upsert.insert_numbered(b.users.select("id", "name"), new, "id", ["name"])
 
 
-@query("d4_replace_groups", "posts", "SELECT id, topic_id FROM posts WHERE topic_id % 9 <> 0 UNION ALL SELECT id + 1000000000, topic_id FROM posts WHERE topic_id % 9 = 0 AND post_index = 1 UNION ALL SELECT id, topic_id FROM posts WHERE topic_id % 9 = 0 AND topic_id NOT IN (SELECT topic_id FROM posts WHERE post_index = 1)")
+@query("d4_replace_groups", "posts", "WITH n AS (SELECT id + 1000000000 AS id, topic_id FROM posts WHERE post_index = 1 AND flag = 'R') SELECT id, topic_id FROM posts WHERE topic_id NOT IN (SELECT topic_id FROM n) UNION ALL SELECT id, topic_id FROM n")
 def _(b: Board):
-    posts = b.posts.select("id", "topic_id", "post_index")
-    new = posts.filter("topic_id % 9 = 0 and post_index = 1").select((F.col("id") + 1_000_000_000).alias("id"), "topic_id")
+    posts = b.posts.select("id", "topic_id", "post_index", "flag")
+    new = posts.filter("post_index = 1 and flag = 'R'").select((F.col("id") + 1_000_000_000).alias("id"), "topic_id")
     return upsert.replace_groups(posts.select("id", "topic_id"), new, ["topic_id"])

@@ -231,9 +231,9 @@ def _(b: Board):
     return b.files.filter("uses > 0").groupBy("kind").agg(F.count("*").alias("files"), F.count("data").alias("kept"), F.count_if(has & F.col("url").startswith("http://brand#1")).alias("archive"), F.count_if(~has).alias("lost"))
 
 
-@query("r29_smileys_with_code", "files", "SELECT f.host, count(*) AS smileys, count(f.data) AS kept, count(c.code) AS titled FROM files f LEFT JOIN (SELECT id, ':' || id || ':' AS code FROM files WHERE id % 3 = 0) c ON c.id = f.id GROUP BY f.host")
+@query("r29_smileys_with_code", "files", "SELECT f.host, count(*) AS smileys, count(f.data) AS kept, count(c.code) AS titled FROM files f LEFT JOIN (SELECT id, ':' || id || ':' AS code FROM files WHERE kind = 'file') c ON c.id = f.id GROUP BY f.host")
 def _(b: Board):
-    codes = b.files.filter("id % 3 = 0").select("id", F.concat(F.lit(":"), F.col("id").cast("string"), F.lit(":")).alias("code"))
+    codes = b.files.filter("kind = 'file'").select("id", F.concat(F.lit(":"), F.col("id").cast("string"), F.lit(":")).alias("code"))
     return b.files.join(codes, "id", "left").groupBy("host").agg(F.count("*").alias("smileys"), F.count("data").alias("kept"), F.count("code").alias("titled"))
 
 
@@ -255,11 +255,11 @@ def _(b: Board):
     return overlay(b.topics.select("id", F.lit("first").alias("source"), F.col("listed_at").alias("at")), b.second_topics.select("id", F.lit("second").alias("source"), F.col("started_at").alias("at")), "id")
 
 
-@query("m7_lost_topics", "posts", "SELECT topic_id, arg_min(id, struct_pack(a := posted_at, b := id)) AS first_post, arg_max(id, struct_pack(a := posted_at, b := id)) AS last_post, count(*) AS n, min(posted_at) AS started FROM posts WHERE topic_id % 11 = 0 GROUP BY topic_id")
+@query("m7_lost_topics", "posts", "SELECT topic_id, arg_min(id, struct_pack(a := posted_at, b := id)) AS first_post, arg_max(id, struct_pack(a := posted_at, b := id)) AS last_post, count(*) AS n, min(posted_at) AS started FROM posts GROUP BY topic_id")
 def _(b: Board):
     from palaver.operators.site import lost_topics
 
-    return lost_topics(b.posts.filter("topic_id % 11 = 0"))
+    return lost_topics(b.posts)
 
 
 @query("m5_authors", "posts users", "SELECT p.id, CASE WHEN u.name IS NOT NULL AND p.user_id <> 0 THEN u.name WHEN p.user_id = 0 THEN 'guest' ELSE 'user ' || p.user_id END AS author FROM posts p LEFT JOIN users u ON u.id = p.user_id")
