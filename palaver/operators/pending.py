@@ -42,3 +42,15 @@ def sources(posts: DataFrame, state: DataFrame, forum_topics: DataFrame | None =
 
 def without_data(files: DataFrame, missing: DataFrame) -> DataFrame:
     return files.filter("data is null").select("id").join(missing.select("id"), "id", "left_anti")
+
+
+def avatars_of(users: DataFrame, avatars: DataFrame) -> DataFrame:
+    """Users with the row of their avatar, where its data was kept."""
+    kept = avatars.filter("data is not null").withColumnRenamed("id", "avatar_id")
+    return users.join(kept, "avatar_id")
+
+
+def unlinked_attachments(attachments: DataFrame, posts: DataFrame) -> DataFrame:
+    """Attachments without data, with the topic of the post that first names them."""
+    where = posts.select(F.col("id").alias("first_post_id"), "topic_id")
+    return attachments.filter("data is null").join(where, "first_post_id")

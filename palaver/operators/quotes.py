@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palaver.functions import dates, text
+from palaver.functions.markup import percent
 from palaver.operators.names import name_pairs
 from palaver.operators.ranges import bucketed_range_join, minutes
 from palaver.operators.shared import materialized
@@ -110,7 +111,7 @@ def decide(evidence: DataFrame, usual: DataFrame) -> DataFrame:
         "quote_id",
         F.when(~ambiguous, F.col("post_id")).alias("post_id"),
         F.when(ambiguous, "ambiguous").otherwise(F.get(names, F.col("tier"))).alias("match"),
-        F.when(~ambiguous, F.bround(100 * F.least(similarity, F.lit(1.0)), 0).cast("long")).alias("similarity"),
+        F.when(~ambiguous, percent(similarity)).alias("similarity"),
         F.when(~ambiguous, F.col("offset")).alias("offset"),
     )
 

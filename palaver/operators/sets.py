@@ -40,3 +40,8 @@ def intersection(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 
 def symmetric_difference(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return presence(a, b, key).filter("in_a <> in_b").select(F.col("key").alias(key), F.when(F.col("in_a"), "a").otherwise("b").alias("side"))
+
+
+def among(rows: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
+    """The rows whose key the other frame has."""
+    return rows.join(chosen.select(key).distinct(), key, "left_semi")

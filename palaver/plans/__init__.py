@@ -1,6 +1,6 @@
 """Registered queries over the board model."""
 
-from palaver.plans import linkage, passes, relational, reports, scalars  # noqa: F401
+from palaver.plans import details, linkage, passes, relational, reports, scalars  # noqa: F401
 from palaver.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

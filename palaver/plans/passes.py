@@ -114,11 +114,6 @@ def _(b: Board):
     return b.markup_posts.filter(x.contains("smile.example/1") | x.contains("smile.example/2")).select("id")
 
 
-@query("f14_filtered_captures", "", "SELECT o_orderkey, o_orderdate >= TIMESTAMP '1997-03-01' AS lossy FROM orders")
-def _(b: Board):
-    return b.orders.select("o_orderkey", (F.col("o_orderdate") >= F.lit("1997-03-01").cast("timestamp_ntz")).alias("lossy"))
-
-
 @query("j6_avatars_not_recovered", "users files", "SELECT id FROM users u WHERE NOT EXISTS (SELECT 1 FROM files f WHERE f.id = u.id AND f.data IS NOT NULL)")
 def _(b: Board):
     return b.users.select("id").join(b.files.filter("data is not null").select("id"), "id", "left_anti")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palaver.operators import finalize, sets, trees
+from palaver.functions.text import nonempty
 from palaver.operators.pending import states
 from palaver.plans.registry import Board, query
 from palaver.plans.relational import _FORUMS_SQL, _TOPICS_SQL, final_topics, six_sql
@@ -37,6 +38,16 @@ def two_votes(polls: DataFrame) -> DataFrame:
 _VOTES = "CAST(list_sum(list_transform(from_json(options, '[{\"text\":\"VARCHAR\",\"votes\":\"BIGINT\"}]'), lambda x: x.votes)) AS BIGINT)"
 
 
+#: Sizes by which topics and users are counted: each bound and what lies up to the next.
+SIZES = (1, 2, 6, 21, 101, 1001)
+_SIZED_SQL = [(f"from {a}", f"count(*) FILTER (WHERE n >= {a}" + (f" AND n < {z})" if z else ")")) for a, z in zip(SIZES, (*SIZES[1:], None), strict=True)]
+
+
+def sized(n: Column) -> list[tuple[str, Column]]:
+    """Counts of rows by size, one measure a bound."""
+    return [(f"from {a}", F.count_if((n >= a) & (n < z) if z else n >= a)) for a, z in zip(SIZES, (*SIZES[1:], None), strict=True)]
+
+
 @query("r1_overview", "forums topics posts users polls files", " UNION ALL ".join(f"SELECT '{t}' AS label, count(*) AS n FROM {t}" for t in ("forums", "topics", "posts", "users", "polls", "files")))
 def _(b: Board):
     return stacked([getattr(b, t).agg(F.count("*").alias("n")).select(F.lit(t).alias("label"), "n") for t in ("forums", "topics", "posts", "users", "polls", "files")])
@@ -66,13 +77,13 @@ def _(b: Board):
 
 @query("r4_topics", "topics posts", sql_rows("(SELECT t.*, s.n FROM topics t LEFT JOIN (SELECT topic_id, count(*) AS n FROM posts GROUP BY 1) s ON s.topic_id = t.id)",
     ("All", "count(*)"), ("complete", "count(*) FILTER (WHERE coalesce(n, 0) >= post_count)"), ("fewer", "count(*) FILTER (WHERE n > 0 AND n < post_count)"),
-    ("none", "count(*) FILTER (WHERE n IS NULL)"), ("Pinned", "count(*) FILTER (WHERE stickied)"), ("Locked", "count(*) FILTER (WHERE locked)")))
+    ("none", "count(*) FILTER (WHERE n IS NULL)"), ("Pinned", "count(*) FILTER (WHERE stickied)"), ("Locked", "count(*) FILTER (WHERE locked)"), *_SIZED_SQL))
 def _(b: Board):
     stored = b.posts.groupBy(F.col("topic_id").alias("id")).agg(F.count("*").alias("n"))
     t = b.topics.join(stored, "id", "left")
     n = F.col("n")
     return measures(t, ("All", F.count("*")), ("complete", F.count_if(F.coalesce(n, F.lit(0)) >= F.col("post_count"))), ("fewer", F.count_if((n > 0) & (n < F.col("post_count")))),
-                    ("none", F.count_if(n.isNull())), ("Pinned", F.count_if("stickied")), ("Locked", F.count_if("locked")))
+                    ("none", F.count_if(n.isNull())), ("Pinned", F.count_if("stickied")), ("Locked", F.count_if("locked")), *sized(n))
 
 
 @query("r5_posts", "posts state", sql_rows("(SELECT user_id, flag, status, (SELECT count(*) FROM state WHERE starts_with(key, 'post-gap:')) AS gaps FROM posts)",
@@ -86,12 +97,18 @@ def _(b: Board):
                     ("repaired", F.count_if(source.isNotNull() & (source != "NO"))), ("not fetched yet", F.greatest(F.lit(0), F.count_if(source.isNull()) - F.max("gaps"))))
 
 
-@query("r6_users", "users posts", sql_rows("(SELECT u.*, s.n FROM users u LEFT JOIN (SELECT user_id, count(*) AS n FROM posts GROUP BY 1) s ON s.user_id = u.id WHERE u.id <> 0)",
-    ("All", "count(*)"), ("with posts", "count(n)"), ("without posts", "count(*) FILTER (WHERE n IS NULL)"), ("Named only by their id", "count(*) FILTER (WHERE name = CAST(id AS STRING))")))
+@query("r6_users", "users posts signatures files", sql_rows("(SELECT u.id, u.name, s.n, coalesce(nullif(g.signature_fixed, ''), nullif(g.signature_source, ''), nullif(g.signature, '')) AS sig, f.id AS avatar, f.status, (SELECT count(DISTINCT user_id) FROM posts WHERE user_id <> 0 AND user_id NOT IN (SELECT id FROM users)) AS others FROM users u LEFT JOIN (SELECT user_id, count(*) AS n FROM posts GROUP BY 1) s ON s.user_id = u.id LEFT JOIN signatures g ON g.id = u.id LEFT JOIN files f ON f.id = u.id AND f.kind = 'image' WHERE u.id <> 0)",
+    ("All", "count(*)"), ("with posts", "count(n)"), ("without posts", "count(*) FILTER (WHERE n IS NULL)"), ("Named only by their id", "count(*) FILTER (WHERE name = CAST(id AS STRING))"),
+    ("With a signature", "count(sig)"), ("With an avatar", "count(avatar)"), ("kept again", "count(*) FILTER (WHERE status = 'kept')"), ("Whose picture is gone", "count(*) FILTER (WHERE status = 'missing')"), ("Posters the table lacks", "max(others)"), *_SIZED_SQL))
 def _(b: Board):
     posted = b.posts.filter("user_id <> 0").groupBy(F.col("user_id").alias("id")).agg(F.count("*").alias("n"))
-    u = b.users.filter("id <> 0").join(posted, "id", "left")
-    return measures(u, ("All", F.count("*")), ("with posts", F.count("n")), ("without posts", F.count_if(F.col("n").isNull())), ("Named only by their id", F.count_if(F.col("name") == F.col("id").cast("string"))))
+    text = nonempty(F.col("signature_fixed"), F.col("signature_source"), F.col("signature"))
+    u = b.users.filter("id <> 0").join(posted, "id", "left").join(b.signatures.select("id", text.alias("sig")), "id", "left")
+    u = u.join(b.files.filter("kind = 'image'").select("id", F.col("id").alias("avatar"), "status"), "id", "left")
+    others = posted.join(b.users, "id", "left_anti").agg(F.count("*").alias("others"))
+    u = u.crossJoin(F.broadcast(others))  # one row
+    return measures(u, ("All", F.count("*")), ("with posts", F.count("n")), ("without posts", F.count_if(F.col("n").isNull())), ("Named only by their id", F.count_if(F.col("name") == F.col("id").cast("string"))),
+                    ("With a signature", F.count("sig")), ("With an avatar", F.count("avatar")), ("kept again", F.count_if(F.col("status") == "kept")), ("Whose picture is gone", F.count_if(F.col("status") == "missing")), ("Posters the table lacks", F.max("others")), *sized(F.col("n")))
 
 
 @query("r7_groups", "users", "SELECT group_name AS name, count(*) AS members FROM users GROUP BY group_name")
@@ -155,13 +172,20 @@ def _(b: Board):
 _W = "(topic_id) AS k FROM posts"
 
 
-@query("r20_source_overview", "forums second_forums topics second_topics posts users", " UNION ALL ".join((
+@query("r20_source_overview", "forums second_forums topics second_topics posts users polls files", " UNION ALL ".join((
     six_sql("Forums", "id AS k FROM forums", "id AS k FROM second_forums"), six_sql("Topics", "id AS k FROM topics", "id AS k FROM second_topics"),
-    six_sql("Posts", "id AS k FROM posts", "id AS k FROM posts WHERE flag <> ''A''".replace("''", "'")), six_sql("Members", "id AS k FROM users WHERE id <> 0", "user_id AS k FROM posts WHERE user_id <> 0"))))
+    six_sql("Posts", "id AS k FROM posts", "id AS k FROM posts WHERE flag <> ''A''".replace("''", "'")), six_sql("Members", "id AS k FROM users WHERE id <> 0", "user_id AS k FROM posts WHERE user_id <> 0"),
+    six_sql("Members with an avatar", "id AS k FROM files WHERE kind = 'image' AND data IS NOT NULL", "id AS k FROM files WHERE kind = 'image' AND uses > 0"), six_sql("Polls", "topic_id AS k FROM polls", "id AS k FROM second_topics WHERE pinned"),
+    six_sql("Attachments", "id AS k FROM files WHERE kind = 'file' AND data IS NOT NULL", "id AS k FROM files WHERE kind = 'file' AND first_post_id IS NOT NULL"), six_sql("Smileys", "id AS k FROM files WHERE signature_uses > 0", "id AS k FROM files WHERE post_uses > 0"))))
 def _(b: Board):
+    kept = b.files.filter("data is not null")
     members = b.users.filter("id <> 0"), b.posts.filter("user_id <> 0").select(F.col("user_id").alias("id"))
     return stacked([sets.six_counts(b.forums, b.second_forums, "id", "Forums"), sets.six_counts(b.topics, b.second_topics, "id", "Topics"),
-                    sets.six_counts(b.posts, b.posts.filter("flag <> 'A'"), "id", "Posts"), sets.six_counts(*members, "id", "Members")])
+                    sets.six_counts(b.posts, b.posts.filter("flag <> 'A'"), "id", "Posts"), sets.six_counts(*members, "id", "Members"),
+                    sets.six_counts(kept.filter("kind = 'image'"), b.files.filter("kind = 'image' and uses > 0"), "id", "Members with an avatar"),
+                    sets.six_counts(b.polls.select(F.col("topic_id").alias("id")), b.second_topics.filter("pinned"), "id", "Polls"),
+                    sets.six_counts(kept.filter("kind = 'file'"), b.files.filter("kind = 'file' and first_post_id is not null"), "id", "Attachments"),
+                    sets.six_counts(b.files.filter("signature_uses > 0"), b.files.filter("post_uses > 0"), "id", "Smileys")])
 
 
 @query("r21_forums_of_one_source", "forums second_forums topics", """
@@ -174,7 +198,14 @@ def _(b: Board):
     return only.join(names, "id").join(n, "id", "left").select("id", F.coalesce("a", "b").alias("name"), F.when(F.col("side") == "a", "first").otherwise("second").alias("source"), F.coalesce("topics", F.lit(0)).alias("topics"))
 
 
-@query("r22_source_topics", "topics second_topics posts", " UNION ALL ".join((
+_NONE = "id AS k FROM topics WHERE FALSE"
+
+
+@query("r22_source_topics", "topics second_topics posts polls", " UNION ALL ".join((
+    six_sql("In a listing", _NONE, "id AS k FROM second_topics WHERE started_at IS NOT NULL"), six_sql("With full pages of posts", _NONE, "topic_id AS k FROM posts WHERE flag <> 'A'"),
+    six_sql("With lite pages", _NONE, "topic_id AS k FROM posts WHERE flag = 'A' AND status = 'F'"), six_sql("With a description", _NONE, "id AS k FROM second_topics WHERE title LIKE '%-%'"),
+    six_sql("Flag P", "k FROM (SELECT id AS k FROM topics WHERE has_poll UNION SELECT topic_id FROM polls)", "id AS k FROM second_topics WHERE pinned AND question"),
+    six_sql("Flag A", _NONE, "id AS k FROM second_topics WHERE pinned"), six_sql("Flag Q", _NONE, "id AS k FROM second_topics WHERE question"), six_sql("Locked", "id AS k FROM topics WHERE locked", _NONE),
     six_sql("All", "id AS k FROM topics", "id AS k FROM second_topics"), six_sql("With posts", "topic_id AS k FROM posts", "id AS k FROM second_topics WHERE question"),
     f"""SELECT 'Pinned' AS label, (SELECT count(*) FROM (SELECT id FROM topics WHERE stickied UNION (SELECT id FROM second_topics WHERE pinned EXCEPT SELECT id FROM topics))) AS shown, * EXCLUDE (label, shown)
     FROM ({six_sql("Pinned", "id AS k FROM topics WHERE stickied", "id AS k FROM second_topics WHERE pinned")})""")))
@@ -185,18 +216,26 @@ def _(b: Board):
     marked = sets.presence(pinned_a, pinned_b, "id").join(known.withColumnRenamed("id", "key"), "key", "left")
     a_, b_ = F.col("in_a"), F.col("in_b")
     pinned = marked.agg(F.count_if(a_ | F.col("known").isNull()).alias("shown"), F.count_if(a_).alias("n_a"), F.count_if(b_).alias("n_b"), F.count_if(a_ & ~b_).alias("only_a"), F.count_if(b_ & ~a_).alias("only_b"), F.count_if(a_ & b_).alias("both")).select(F.lit("Pinned").alias("label"), "*")
-    return stacked([sets.six_counts(a, s, "id", "All"), sets.six_counts(b.posts.select(F.col("topic_id").alias("id")), s.filter("question"), "id", "With posts"), pinned])
+    none, topic = a.limit(0).select("id"), F.col("topic_id").alias("id")
+    polled = a.filter("has_poll").select("id").unionByName(b.polls.select(topic))
+    rows = [("In a listing", none, s.filter("started_at is not null")), ("With full pages of posts", none, b.posts.filter("flag <> 'A'").select(topic)), ("With lite pages", none, b.posts.filter("flag = 'A' and status = 'F'").select(topic)),
+            ("With a description", none, s.filter("title like '%-%'")), ("Flag P", polled, s.filter("pinned and question")), ("Flag A", none, s.filter("pinned")), ("Flag Q", none, s.filter("question")), ("Locked", a.filter("locked"), none)]
+    return stacked([*(sets.six_counts(x, y, "id", label) for label, x, y in rows), sets.six_counts(a, s, "id", "All"), sets.six_counts(b.posts.select(F.col("topic_id").alias("id")), s.filter("question"), "id", "With posts"), pinned])
 
 
 @query("r23_source_posts", "posts", " UNION ALL ".join((
     six_sql("All", "CAST(id AS STRING) AS k FROM posts", "CASE WHEN status = ''O'' THEN CAST(id AS STRING) ELSE ''f:'' || id END AS k FROM posts WHERE flag <> ''A''".replace("''", "'")),
-    six_sql("By guests", "CAST(id AS STRING) AS k FROM posts WHERE user_id = 0", "CASE WHEN status = ''O'' THEN CAST(id AS STRING) ELSE ''f:'' || id END AS k FROM posts WHERE flag <> ''A'' AND user_id = 0".replace("''", "'")))))
+    six_sql("By guests", "CAST(id AS STRING) AS k FROM posts WHERE user_id = 0", "CASE WHEN status = ''O'' THEN CAST(id AS STRING) ELSE ''f:'' || id END AS k FROM posts WHERE flag <> ''A'' AND user_id = 0".replace("''", "'")),
+    six_sql("With a full copy", "CAST(id AS STRING) AS k FROM posts WHERE FALSE", "CASE WHEN status = ''O'' THEN CAST(id AS STRING) ELSE ''f:'' || id END AS k FROM posts WHERE flag = ''N''".replace("''", "'")),
+    six_sql("With a lite copy", "CAST(id AS STRING) AS k FROM posts WHERE FALSE", "CAST(id AS STRING) AS k FROM posts WHERE flag = 'R'"))))
 def _(b: Board):
     # A copy that no post is known for has a key of its own.
     key = F.when(F.col("status") == "O", F.col("id").cast("string")).otherwise(F.concat(F.lit("f:"), F.col("id").cast("string")))
     own = b.posts.select(F.col("id").cast("string").alias("key"), "user_id")
     copies = b.posts.filter("flag <> 'A'").select(key.alias("key"), "user_id")
-    return stacked([sets.six_counts(own, copies, "key", "All"), sets.six_counts(own.filter("user_id = 0"), copies.filter("user_id = 0"), "key", "By guests")])
+    none = own.limit(0)
+    full, lite = b.posts.filter("flag = 'N'").select(key.alias("key")), b.posts.filter("flag = 'R'").select(F.col("id").cast("string").alias("key"))
+    return stacked([sets.six_counts(none, full, "key", "With a full copy"), sets.six_counts(none, lite, "key", "With a lite copy"), sets.six_counts(own, copies, "key", "All"), sets.six_counts(own.filter("user_id = 0"), copies.filter("user_id = 0"), "key", "By guests")])
 
 
 @query("r24_copies", "posts", "SELECT status AS match, count(*) AS n, count(*) FILTER (WHERE flag = 'R') AS shown FROM posts WHERE flag <> 'A' GROUP BY status")

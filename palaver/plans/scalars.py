@@ -151,23 +151,6 @@ def _(b: Board):
     return b.topics.select("id", at["topic"].alias("topic"), at["offset"].alias("start"))
 
 
-@query("x50_similarity", "", "SELECT doc_id, CAST(round_even(100 * least(n_chars / 3000.0::DOUBLE, 1), 0) AS BIGINT) AS pct FROM documents")
-def _(b: Board):
-    return b.documents.select("doc_id", F.bround(100 * F.least(F.col("n_chars") / 3000.0, F.lit(1.0)), 0).cast("bigint").alias("pct"))
-
-
-@query("x61_event_props", "", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
-def _(b: Board):
-    return b.events.select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
-
-
-@query("x62_sentinel_attrs", "topics", "SELECT id, id AS ref, id % 40 AS start FROM topics")
-def _(b: Board):
-    tag = F.concat(F.lit("="), F.col("id").cast("string"), F.lit(" start="), (F.col("id") % 40).cast("string"))
-    rest = F.str_to_map(F.trim(F.regexp_replace(tag, r"^=\S*", "")), F.lit(" "), F.lit("="))
-    return b.topics.select("id", F.regexp_extract(tag, r"^=(\d+)", 1).cast("long").alias("ref"), rest["start"].cast("long").alias("start"))
-
-
 @query("f17_file_kinds", "", "SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'png' WHEN 1 THEN 'gif' WHEN 2 THEN 'jpeg' WHEN 3 THEN 'pdf' END AS kind, o_orderkey % 5 < 3 AS image, o_orderkey % 5 < 3 AND o_orderkey % 2 = 0 AS whole FROM orders")
 def _(b: Board):
     k = F.col("o_orderkey") % 5

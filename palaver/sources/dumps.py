@@ -56,7 +56,37 @@ def merge_dumps(dumps: list[DataFrame]) -> DataFrame:
     flat = ranked.filter("__r = 1").join(snaps.select("file_id", "size"), ["file_id", "size"], "left_anti")
     hashed = ranked.filter("__r = 2").join(snaps.select("file_id", "captured_at"), ["file_id", "captured_at"], "left_anti").join(flat.select("file_id", "size"), ["file_id", "size"], "left_anti")
     kept = snaps.unionByName(flat.select(*snaps.columns)).unionByName(hashed.select(*snaps.columns))
-    return kept.withColumn("filtered", F.coalesce(F.col("captured_at") >= F.lit(FILTERED_FROM).cast("timestamp_ntz"), F.lit(False))).drop("__r")
+    return kept.withColumn("filtered", filtered(F.col("captured_at"))).drop("__r")
+
+
+def captures_of(x: Column) -> Column:
+    """The captures that a JSON list gives: time, address and size each."""
+    return F.from_json(x, "array<struct<timestamp:string,original:string,length:bigint>>")
+
+
+def filtered(captured_at: Column) -> Column:
+    """Whether a copy was made after the board's word filter came."""
+    return F.coalesce(captured_at >= F.lit(FILTERED_FROM).cast("timestamp_ntz"), F.lit(False))
+
+
+def page_of(file_id: Column, query: Column) -> Column:
+    """struct(path, kind): where a downloaded file lies and what page it is; null if it is not worth reading.
+
+    ``query`` is the map of the address's query string.
+    """
+    from palaver.functions.urls import archive_position, page_kind
+
+    lite = file_id.rlike(r"^a/[^/]+$") & archive_position(file_id)["topic"].isNotNull()
+
+    def page(path: Column, kind: Column) -> Column:
+        return F.struct(path.alias("path"), kind.alias("kind"))
+
+    return (
+        F.when(~file_id.contains("/") & file_id.startswith("index__q"), page(file_id, page_kind(query)))
+        .when(file_id == "a/members", page(F.lit("a/members/index.html"), F.lit("archive-members")))
+        .when(lite, page(file_id, F.lit("archive-topic")))
+        .when(file_id.isin("", "index.php"), page(F.when(file_id == "", "index.html").otherwise(file_id), F.lit("other")))
+    )
 
 
 def oldest_first(captures: DataFrame) -> DataFrame:

@@ -61,3 +61,8 @@ def split_quotes(answers: DataFrame) -> DataFrame:
     each = paired.select(F.explode(F.arrays_zip(F.col("ids").alias("post_id"), F.col("__p").alias("part"))).alias("z"))
     inner = F.regexp_replace(F.regexp_replace("z.part", r"^\s*\[quote[^\]]*\]", ""), r"\[/quote\]\s*$", "")
     return each.select("z.post_id", inner.alias("source"))
+
+
+def topic_totals(answers: DataFrame) -> DataFrame:
+    """forum_id, total: topics of a forum over its listing modes, one answer's ``total_topic_num`` each."""
+    return answers.groupBy("forum_id").agg(F.sum(F.coalesce("total_topic_num", F.lit(0))).cast("long").alias("total"))
