@@ -8,6 +8,10 @@ SQL in the checks.
 
 from __future__ import annotations
 
+import contextlib
+import os
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "benchmark", "labels", "conversations", "embeddings")
@@ -89,12 +93,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Posts by key: of rows that share an id the last in full-row order stays, as in an upsert."""
+    """Posts by key: of rows that share an id the last in full-row order stays, as in an upsert.
+
+    The table is written once a session and folder, and read by all queries.
+    """
+    from palaver.operators.shared import materialized
     from palaver.operators.upsert import last_of_batch
 
+    key = spark.sparkContext.applicationId, sf_dir
+    if key in _written:
+        with contextlib.suppress(AnalysisException):  # the folder may have been cleared
+            return spark.read.parquet(_written[key])
     rows = table(spark, sf_dir, "post_rows")
     rest = [c for c in rows.columns if c != "id"]
-    return last_of_batch(rows, ["id"], rest)
+    out = materialized(last_of_batch(rows, ["id"], rest), "posts")
+    _written[key] = os.path.dirname(out.inputFiles()[0])
+    return out
+
+
+_written: dict[tuple[str, str], str] = {}
 
 
 _POSTS_SQL = """SELECT * FROM post_rows QUALIFY row_number() OVER (PARTITION BY id ORDER BY topic_id DESC, user_id DESC, post_index DESC, posted_at DESC,

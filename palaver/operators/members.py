@@ -93,19 +93,23 @@ def link_posts(old: DataFrame, new: DataFrame) -> DataFrame:
     sides have the author equally often ('time+author'), and what is left pairs by
     order if equally many are left ('time+order').
     """
-    def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select(F.col("id").alias(name), "topic_id", F.date_trunc("minute", "posted_at").alias("m"), "author")
-
-    o, n = side(old, "old_id"), side(new, "new_id")
-    found, cell = [], ["topic_id", "m"]
-    for match, key in (("time", None), ("time+author", "author"), ("time+order", None)):
-        by = [*cell, key] if key else cell
-        w = Window.partitionBy(*by)
-        a = o.withColumn("k", F.row_number().over(w.orderBy("old_id"))).withColumn("c", F.count("*").over(w))
-        b = n.withColumn("k", F.row_number().over(w.orderBy("new_id"))).withColumn("c", F.count("*").over(w))
-        pairs = a.select(*by, "k", "c", "old_id").join(b.select(*by, "k", "c", "new_id"), [*by, "k", "c"])
-        pairs = pairs.filter("c = 1") if match == "time" else pairs
-        pairs = pairs.select("old_id", "new_id", F.lit(match).alias("match"))
-        found.append(pairs)
-        o, n = o.join(pairs, "old_id", "left_anti"), n.join(pairs, "new_id", "left_anti")
-    return found[0].unionByName(found[1]).unionByName(found[2])
+    def side(df: DataFrame, number: int) -> DataFrame:
+        return df.select("topic_id", F.date_trunc("minute", "posted_at").alias("m"), "author", "id", F.lit(number).alias("side"))
+
+    # Both sides in one frame, dealt once by cell: counts and ranks of all three rules are windows over it.
+    rows = side(old, 0).unionByName(side(new, 1))
+    cell, own = Window.partitionBy("topic_id", "m"), Window.partitionBy("topic_id", "m", "author")
+    many = lambda c, w: [F.count_if(c & (F.col("side") == i)).over(w) for i in (0, 1)]
+    always = F.lit(True)
+    (co, cn), (ao, an) = many(always, cell), many(always, own)
+    rows = rows.withColumns({"co": co, "cn": cn, "ao": ao, "an": an})
+    alone = (F.col("co") == 1) & (F.col("cn") == 1)
+    rows = rows.withColumn("tier", F.when(alone, 1).when(F.col("author").isNotNull() & (F.col("ao") == F.col("an")), 2))
+    lo, ln = many(F.col("tier").isNull(), cell)
+    rows = rows.withColumns({"lo": lo, "ln": ln})
+    rows = rows.withColumn("tier", F.coalesce("tier", F.when(F.col("lo") == F.col("ln"), 3))).filter("tier is not null")
+    rows = rows.withColumn("who", F.when(F.col("tier") == 2, F.col("author")))
+    rows = rows.withColumn("k", F.row_number().over(Window.partitionBy("topic_id", "m", "tier", "who", "side").orderBy("id")))
+    picked = [F.max(F.when(F.col("side") == i, F.col("id"))).alias(name) for i, name in ((0, "old_id"), (1, "new_id"))]
+    pairs = rows.groupBy("topic_id", "m", "tier", "who", "k").agg(*picked)
+    return pairs.select("old_id", "new_id", F.get(F.array(F.lit("time"), F.lit("time+author"), F.lit("time+order")), F.col("tier") - 1).alias("match"))

@@ -19,20 +19,26 @@ from palaver.operators.shared import materialized
 
 #: Fixed values of the linkage: trigrams a quote, posts a trigram, trigrams that make a text comparable, candidates by text, latest posts of a topic, likeness of names.
 SAMPLE, COMMON, LEAST, TOP, SCAN, ALIKE = 60, 2000, 3, 20, 500, 0.85
+#: Hashes of trigrams that are broadcast at most, 8 bytes each.
+FEW = 2_000_000
 #: Fixed value: minutes by which a quoted post may seem later than its bound.
 SLACK = 2
 
 
 def wanted_trigrams(quotes: DataFrame, body: str = "body") -> DataFrame:
-    """quote_id, s: at most ``SAMPLE`` distinct trigrams of each body, spread over their md5 order."""
+    """quote_id, s: hashes of at most ``SAMPLE`` distinct trigrams of each body, spread over their md5 order."""
     s = text.sampled(text.shingles(text.words(F.col(body))), SAMPLE)
-    return quotes.select("quote_id", F.explode(s).alias("s"))
+    return materialized(quotes.select("quote_id", F.explode(s).alias("s")).select("quote_id", F.xxhash64("s").alias("s")).distinct(), "quote-trigrams")
 
 
 def postings(posts: DataFrame, wanted: DataFrame, own: Column) -> DataFrame:
-    """post_id, s of wanted trigrams that at most ``COMMON`` posts hold."""
-    every = posts.select(F.col("id").alias("post_id"), F.explode(text.shingles(text.words(own))).alias("s"))
-    found = every.join(wanted.select("s").distinct(), "s", "left_semi")
+    """post_id, s of wanted trigrams that at most ``COMMON`` posts hold.
+
+    Up to ``FEW`` wanted trigrams go to all tasks, so that the others never leave theirs.
+    """
+    every = posts.select(F.col("id").alias("post_id"), F.explode(text.shingles(text.words(own), hashed=True)).alias("s"))
+    keys = materialized(wanted.select("s").distinct(), "quote-wanted")
+    found = materialized(every.join(F.broadcast(keys) if keys.count() <= FEW else keys, "s", "left_semi"), "quote-postings")
     rare = found.groupBy("s").agg(F.count("*").alias("n")).filter(F.col("n") <= COMMON).select("s")
     return found.join(rare, "s")
 

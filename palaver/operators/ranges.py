@@ -87,8 +87,8 @@ def carried(blocks: DataFrame, block: str, last: str, first: str, width: int = 4
 
     (low, high), (before, behind) = two(over, "l", "f"), two(own, "__last", "__first")
     tops = tops.select("__g", low.alias("__low"), high.alias("__high"))
-    joined = rows.select(block, "__g", before.alias("b"), behind.alias("n")).join(tops, "__g")
-    return joined.select(block, F.coalesce("b", "__low").alias("before"), F.coalesce("n", "__high").alias("behind"))
+    joined = rows.select(block, "__g", before.alias("__b1"), behind.alias("__b2")).join(tops, "__g")
+    return joined.select(block, F.coalesce("__b1", "__low").alias("before"), F.coalesce("__b2", "__high").alias("behind"))
 
 
 def following(rows: DataFrame, key: str, columns: list[str], width: int = 65_536) -> DataFrame:
