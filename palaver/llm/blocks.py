@@ -208,6 +208,18 @@ def numbered(docs: DataFrame) -> DataFrame:
     return docs.toDF(*(f"column {i}" for i in range(len(docs.columns))))
 
 
+@contextlib.contextmanager
+def rows_per_batch(spark: SparkSession, n: int):
+    """What is run inside sends at most n rows at once to a Python worker: for rows that hold long texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
