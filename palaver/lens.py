@@ -72,8 +72,8 @@ LENS: dict[str, tuple[tuple[str, ...], str]] = {
                CASE WHEN c_custkey % 4 = 0 THEN c_mktsegment END AS signature_source, CASE WHEN c_custkey % 5 = 0 THEN c_name ELSE '' END AS signature
         FROM {customer}"""),
     "quoting": (("documents", "customer", "orders"), """
-        SELECT d.doc_id AS post_id, CAST(d.n_chars % 100 AS BIGINT) AS topic_id, c.c_name AS author, o.o_orderdate AS quoted_at, d.n_chars % 3 = 0 AS nested,
-               concat('[quote="', c.c_name, '" date="', CAST(o.o_orderdate AS STRING), '"]', CASE WHEN d.n_chars % 3 = 0 THEN '[quote=Al]deep[/quote]' ELSE '' END, d.text, '[/quote] I agree [b]fully[/b] &amp; <br> ',
+        SELECT d.doc_id AS post_id, CAST(d.n_chars % 100 AS BIGINT) AS topic_id, substr(md5(c.c_name), 1, 10) AS author, o.o_orderdate AS quoted_at, d.n_chars % 3 = 0 AS nested,
+               concat('[quote="', substr(md5(c.c_name), 1, 10), '" date="', CAST(o.o_orderdate AS STRING), '"]', CASE WHEN d.n_chars % 3 = 0 THEN '[quote=Al]deep[/quote]' ELSE '' END, d.text, '[/quote] I agree [b]fully[/b] &amp; <br> ',
                  CASE d.n_chars % 11 WHEN 0 THEN '[b]open' WHEN 1 THEN '[i]x[/i][/u] [sarcasm]' WHEN 2 THEN '[table][tr][td][b]QUOTE[/b] (Al @ Nov 4 2005, 07:37 PM)[/td][/tr][tr][td]hi[/td][/tr][/table]'
                    WHEN 3 THEN concat('[color=RED', chr(39), '>]x[/color]') WHEN 4 THEN concat('[img]', chr(39), 'http://a.example/1.gif', chr(39), '[/img]') WHEN 5 THEN concat('[url=', chr(39), 'http://a.example', chr(39), ']u[/url]') WHEN 6 THEN '[size=100]x[/size]'
                    WHEN 7 THEN '(IMG:style_emoticons/smile.gif) <!--emo&:)--> [sarcasm]' WHEN 8 THEN '[url=/attach/1]f[/url] [spoiler=]s[/spoiler]' WHEN 9 THEN 'metanet.2.forumer.com/index.php?showtopic=7 [quote=Bo, Nov 4 2005]' ELSE '[list][*]1' END) AS source,
