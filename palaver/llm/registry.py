@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palaver.llm.blocks import documents
+from palaver.llm.sql import prefix_trie_sql, sort_means_sql
 
 
 def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +88,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_before", "n_after", n.alias("n_pretokens"), "n_encoded", F.sha2(F.encode("text", "UTF-8"), 256).alias("edited_sha256"))
 
 
+def op12_sort_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from palaver.llm.sort_means import cluster_report
+
+    return cluster_report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from palaver.llm.prefix_trie import trie_report
+
+    return trie_report(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pu_quality": op1_pu_quality,
     "op2_line_dedup": op2_line_dedup,
@@ -98,9 +111,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_backoff_scores": op9_backoff_scores,
     "op10_token_counts": op10_token_counts,
+    "op12_sort_means": op12_sort_means,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE: dict[str, str] = {
+    "op12_sort_means": sort_means_sql(),
+    "op13_prefix_trie": prefix_trie_sql(),
     "op2_line_dedup": r"""
 WITH lines AS (
   SELECT doc_id, u.i AS pos, string_split(coalesce(text, ''), chr(10))[u.i] AS line
