@@ -88,6 +88,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_before", "n_after", n.alias("n_pretokens"), "n_encoded", F.sha2(F.encode("text", "UTF-8"), 256).alias("edited_sha256"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from palaver.llm.toxicity import classify
+
+    return classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op12_sort_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     from palaver.llm.sort_means import cluster_report
 
@@ -111,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_backoff_scores": op9_backoff_scores,
     "op10_token_counts": op10_token_counts,
+    "op11_toxicity": op11_toxicity,
     "op12_sort_means": op12_sort_means,
     "op13_prefix_trie": op13_prefix_trie,
 }
