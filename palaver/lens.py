@@ -79,6 +79,29 @@ LENS: dict[str, tuple[tuple[str, ...], str]] = {
                    WHEN 7 THEN '(IMG:style_emoticons/smile.gif) <!--emo&:)--> [sarcasm]' WHEN 8 THEN '[url=/attach/1]f[/url] [spoiler=]s[/spoiler]' WHEN 9 THEN 'metanet.2.forumer.com/index.php?showtopic=7 [quote=Bo, Nov 4 2005]' ELSE '[list][*]1' END) AS source,
                d.text AS body
         FROM {documents} d JOIN {customer} c ON c.c_custkey = d.doc_id JOIN {orders} o ON o.o_orderkey = d.doc_id WHERE d.text IS NOT NULL"""),
+    "nested_posts": (("documents",), """
+        SELECT doc_id AS id, replace(replace(replace(replace(replace(replace(replace(replace(text, ' with ', ' [quote=Al] '), ' for ', ' [/quote] '), ' as ', ' [quote] '), ' at ', ' [CODE] '), ' be ', ' [/code] '),
+               ' was ', ' [/quote] '), ' von ', ' [quote=Bo, Nov 4 2005] '), ' zu ', ' [/quote] ') AS source
+        FROM {documents}"""),
+    "linked_posts": (("documents",), """
+        SELECT doc_id AS id, replace(replace(replace(replace(replace(replace(text,
+               ' and ', concat(' [url=http://metanet.2.forumer.com/index.php?showtopic=', CAST(doc_id AS STRING), '&amp;st=', CAST(doc_id % 3 * 20 AS STRING), ']here[/url] ')),
+               ' of ', concat(' (http://metanet.2.forumer.com/?showforum=', CAST(doc_id % 40 AS STRING), '). ')),
+               ' is ', concat(' [url]http://www.metanet.forumer.com/index.php?act=ST&t=', CAST(doc_id + 1 AS STRING), '&view=findpost&p=', CAST(doc_id * 8 + 1 AS STRING), '[/url] ')),
+               ' with ', ' [code] '), ' for ', ' [/CODE] '), ' on ', ' [img] http://metanet.2.forumer.com/?showtopic=1 [url=http://metanet.2.forumer.com/index.php?showtopic=7#entry33]x[/url] ') AS text
+        FROM {documents} WHERE text IS NOT NULL"""),
+    "attachments": (("part",), """
+        SELECT p_partkey AS id, concat('http://2.forumer.com/uploads/metanet/post-', CAST(p_partkey % 30 AS STRING), '-', CAST(1100000000 + p_partkey AS STRING), '.jpg') AS url FROM {part} WHERE p_partkey % 3 <> 0
+        UNION ALL
+        SELECT p_partkey, concat('http://metanet.2.forumer.com/index.php?act=Attach&type=post&id=', CAST(p_partkey AS STRING)) FROM {part} WHERE p_partkey % 3 = 0"""),
+    "attaching_posts": (("documents",), """
+        SELECT doc_id AS id, replace(replace(replace(replace(replace(replace(replace(text,
+               ' and ', concat(' -----\n[url=/attach/ma/post-', CAST(doc_id % 30 AS STRING), '-', CAST(1100000000 + doc_id AS STRING), '.jpg]Click here to view the attachment[/url] ')),
+               ' of ', concat(' [img]http://2.forumer.com/uploads/metanet/post-', CAST((doc_id + 1) % 30 AS STRING), '-', CAST(1100000001 + doc_id AS STRING), '.jpg[/img] ')),
+               ' is ', concat(' [url=http://metanet.2.forumer.com/index.php?act=attach&amp;type=post&amp;id=', CAST(doc_id AS STRING), ']the file[/url] ')),
+               ' to ', concat(' see 2.forumer.com/uploads/metanet/post-', CAST(doc_id % 30 AS STRING), '-', CAST(1100000000 + doc_id AS STRING), '.jpg, ')),
+               ' with ', ' [code] '), ' for ', ' [/code] '), ' on ', ' [url] ') AS text
+        FROM {documents} WHERE text IS NOT NULL"""),
 }
 
 

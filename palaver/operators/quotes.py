@@ -221,7 +221,7 @@ def link_level(quotes: DataFrame, posts: DataFrame, names: DataFrame, hits: Data
 def link_quotes(quotes: DataFrame, posts: DataFrame, names: DataFrame, guests: DataFrame | None = None) -> DataFrame:
     """post_id, position, level, parent, author, date, quoted_post_id, quoted_user_id, match, similarity, tz_offset of every quote.
 
-    ``quotes`` as ``markup.quotes_of`` gives them; ``posts``: id, topic_id, user_id,
+    ``quotes`` as ``brackets.quotes_of`` gives them; ``posts``: id, topic_id, user_id,
     posted_at, text (its own words).  Levels follow each other, each written to the
     shared folder: a nested quote is no later than the post that its parent was
     matched to, and is shown in the zone of that post's author.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from palaver.functions import markup, text
-from palaver.operators import members, quotes
+from palaver.operators import brackets, members, quotes
 from palaver.plans.registry import Board, query
 
 _W = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}_]+')"
@@ -93,7 +93,7 @@ SELECT post_id, 0 AS position, 1 AS level, CAST(NULL AS INT) AS parent, author,
 UNION ALL SELECT post_id, 1, 2, 0, 'Al', NULL, 4 FROM quoting WHERE nested
 UNION ALL SELECT post_id, CASE WHEN nested THEN 2 ELSE 1 END, 1, NULL, 'Bo', 'Nov 4 2005', 0 FROM quoting WHERE contains(source, '[quote=Bo')""")
 def _(b: Board):
-    found = markup.quotes_of(b.quoting.withColumnRenamed("post_id", "id"))
+    found = brackets.quotes_of(b.quoting.withColumnRenamed("post_id", "id"))
     return found.select("post_id", "position", "level", "parent", "author", "date", F.char_length("body").alias("n"))
 
 
@@ -105,7 +105,7 @@ def _(b: Board):
     later = b.quoting.select((-F.col("post_id")).alias("id"), "topic_id", F.col("post_id").alias("user_id"), F.lit("2020-01-01").cast("timestamp_ntz").alias("posted_at"), "source")
     posts = texts.unionByName(later.withColumn("text", markup.own_text("source")).drop("source"))
     names = b.users.select(F.col("id").alias("user_id"), F.substring(F.md5("name"), 1, 10).alias("key"))
-    return quotes.link_quotes(markup.quotes_of(later), posts, names)
+    return quotes.link_quotes(brackets.quotes_of(later), posts, names)
 
 
 @query("l3_link_members")

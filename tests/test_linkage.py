@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from palaver.functions import markup
 from palaver.functions.attribution import attribution, clean_name, opening_tag, trailing_date
-from palaver.operators import members, names, quotes, ranges, trees
+from palaver.operators import brackets, members, names, quotes, ranges, trees
 from palaver.sources import sinks
 
 START = dt.datetime(2005, 3, 1, 12, 0)
@@ -169,11 +169,11 @@ def test_quotes_link_as_by_hand(spark, seed):
     rows = spark.createDataFrame([(p["id"], p["topic"], p["user"], p["at"], p["source"]) for p in posts], "id long, topic_id long, user_id long, posted_at timestamp_ntz, source string")
     own = rows.withColumn("text", markup.own_text("source")).drop("source")
     known = spark.createDataFrame([(i, n.lower()) for i, n in people.items()], "user_id long, key string")
-    out = quotes.link_quotes(markup.quotes_of(rows), own, known).collect()
+    out = quotes.link_quotes(brackets.quotes_of(rows), own, known).collect()
     assert {(r["post_id"], r["position"]): (r["quoted_post_id"], r["match"]) for r in out} == want
     kinds = Counter(m for _, m in want.values())
     assert len(kinds) >= 5 and max(q["level"] for q in out) == 2
-    none = markup.quotes_of(rows.limit(0))
+    none = brackets.quotes_of(rows.limit(0))
     assert quotes.link_quotes(none, own, known).count() == 0
 
 
