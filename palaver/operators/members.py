@@ -2,59 +2,19 @@
 
 from __future__ import annotations
 
-import bisect
-
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from palaver.operators.chains import longest_chain
 from palaver.operators.names import unique_names
 from palaver.operators.ranges import position_fill
 from palaver.operators.upsert import number_rows
 
 
-def increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """The longest chain of pairs that increases in both; patience sorting."""
-    pairs = sorted(pairs, key=lambda p: (p[0], -p[1]))
-    ends: list[int] = []  # last value of the best chain of each length
-    at: list[int] = []
-    before: list[int | None] = []
-    for i, (_, b) in enumerate(pairs):
-        k = bisect.bisect_left(ends, b)
-        before.append(at[k - 1] if k else None)
-        if k == len(ends):
-            ends.append(b)
-            at.append(i)
-        else:
-            ends[k], at[k] = b, i
-    chain = []
-    i = at[-1] if at else None
-    while i is not None:
-        chain.append(pairs[i])
-        i = before[i]
-    return chain[::-1]
-
-
-#: Members with a name of their own in both sources, two numbers each, that one chain is found over.
-MOST_ANCHORS = 20_000_000
-
-
-def anchors(old: DataFrame, new: DataFrame, most: int = MOST_ANCHORS) -> DataFrame:
-    """old_pos, new_pos of members with the same unique name whose order agrees.
-
-    The longest chain depends on all anchors at once, so one task finds it: a pair
-    of numbers an anchor.  More than ``most`` are an error, never a chain cut short.
-    """
+def anchors(old: DataFrame, new: DataFrame, **options) -> DataFrame:
+    """old_pos, new_pos of members with the same unique name whose order agrees: the longest chain."""
     both = unique_names(old).join(unique_names(new).select("key", F.col("pos").alias("new_pos")), "key").select(F.col("pos").alias("old_pos"), "new_pos")
-
-    count = both.count()
-    if count > most:
-        raise ValueError(f"{count} members have a name of their own in both sources; one chain is found over at most {most}")
-
-    def chain(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(increasing(list(zip(rows["old_pos"], rows["new_pos"], strict=True))), columns=["old_pos", "new_pos"])
-
-    return both.groupBy(F.lit(0).alias("all")).applyInPandas(chain, "old_pos long, new_pos long")
+    return longest_chain(both, **options)
 
 
 def link_members(old: DataFrame, new: DataFrame) -> DataFrame:

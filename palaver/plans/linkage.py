@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from palaver.functions import markup, text
-from palaver.operators import brackets, members, quotes
+from palaver.operators import brackets, chains, members, quotes
 from palaver.plans.registry import Board, query
 
 _W = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}_]+')"
@@ -108,10 +108,38 @@ def _(b: Board):
     return quotes.link_quotes(brackets.quotes_of(later), posts, names)
 
 
-@query("l3_link_members")
+def _chain(pairs: str) -> str:
+    """The chain by patience sorting, one pair after another, of CTE ``pairs`` (a, b)."""
+    return f"""num AS (SELECT a, b, row_number() OVER (ORDER BY a, b DESC) AS n FROM (SELECT DISTINCT a, b FROM {pairs})),
+piles AS (SELECT 0::BIGINT AS n, []::BIGINT[] AS tops, 0::BIGINT AS length UNION ALL
+  SELECT n, list_concat(tops[:k], [b], tops[k + 2:]), k + 1 FROM (SELECT num.n, num.b, tops, len(list_filter(tops, lambda t: t < num.b)) AS k FROM piles JOIN num ON num.n = piles.n + 1)),
+placed AS (SELECT num.*, length FROM num JOIN piles USING (n)),
+back AS (SELECT max(n) + 1 AS n, max(length) AS wanted, NULL::BIGINT AS a, NULL::BIGINT AS b FROM placed UNION ALL
+  SELECT p.n, wanted - CASE WHEN p.length = wanted THEN 1 ELSE 0 END, CASE WHEN p.length = wanted THEN p.a END, CASE WHEN p.length = wanted THEN p.b END FROM back JOIN placed p ON p.n = back.n - 1),
+chain AS (SELECT a, b FROM back WHERE a IS NOT NULL)"""
+
+
+@query("w7_anchor_chain", "users", f"WITH RECURSIVE pairs AS (SELECT id AS a, id * 7919 % 1009 + id // 3 AS b FROM users), {_chain('pairs')} SELECT a, b FROM chain")
+def _(b: Board):
+    """The longest rising chain of a disorderly sequence with equal values."""
+    return chains.longest_chain(b.users.select(F.col("id").alias("a"), (F.col("id") * 7919 % 1009 + F.floor(F.col("id") / 3)).alias("b")))
+
+
+@query("l3_link_members", "users", f"""
+WITH RECURSIVE old AS (SELECT id, CASE WHEN group_name = 'FURNITURE' THEN 'lost' ELSE lower(name) END AS key, row_number() OVER (ORDER BY id) AS pos FROM users),
+nid AS (SELECT CASE WHEN md5(name) < '2' THEN id * 2 + 601 ELSE id * 2 + 100 END AS id, lower(name) AS key FROM users WHERE group_name <> 'MACHINERY'),
+new AS (SELECT *, row_number() OVER (ORDER BY id) AS pos FROM nid),
+uo AS (SELECT key, any_value(pos) AS pos, any_value(id) AS id FROM old GROUP BY key HAVING count(*) = 1), un AS (SELECT key, any_value(pos) AS pos, any_value(id) AS id FROM new GROUP BY key HAVING count(*) = 1),
+both_ AS (SELECT uo.pos AS a, un.pos AS b, uo.id AS old_id, un.id AS new_id FROM uo JOIN un USING (key)), {_chain('both_')},
+gaps AS (SELECT a, b, lead(a) OVER (ORDER BY a) AS na, lead(b) OVER (ORDER BY a) AS nb FROM chain),
+found AS (SELECT old_id, new_id, 'name' AS match FROM chain JOIN both_ USING (a, b)
+  UNION ALL SELECT o.id, n.id, 'position' FROM gaps g JOIN old o ON o.pos > g.a AND o.pos < g.na JOIN new n ON n.pos - g.b = o.pos - g.a WHERE g.na - g.a = g.nb - g.b)
+SELECT * FROM found UNION ALL SELECT old_id, new_id, 'only-name' FROM both_ WHERE old_id NOT IN (SELECT old_id FROM found) AND new_id NOT IN (SELECT new_id FROM found)""")
 def _(b: Board):
-    old = b.users.select("id", F.lower("name").alias("key")).withColumn("key", F.when(F.col("id") % 7 == 3, "lost").otherwise(F.col("key")))
-    new = b.users.filter("id % 50 <> 49").select((F.col("id") + 100).alias("id"), F.lower("name").alias("key"))
+    """Members of one group have lost their names, those of another never came over, and some came late."""
+    old = b.users.select("id", F.when(F.col("group_name") == "FURNITURE", "lost").otherwise(F.lower("name")).alias("key"))
+    late = F.md5("name") < "2"
+    new = b.users.filter("group_name <> 'MACHINERY'").select((F.col("id") * 2 + F.when(late, 601).otherwise(100)).alias("id"), F.lower("name").alias("key"))
     return members.link_members(old, new)
 
 

@@ -8,7 +8,6 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from palaver.functions import dates, files, markup, text, urls
-from palaver.operators.members import increasing
 
 
 def one(spark, column, **values):
@@ -127,14 +126,3 @@ def test_file_kinds(spark):
     assert one(spark, files.whole_image(png), x=1) is True
     assert one(spark, files.whole_image(F.unhex(F.lit("FFD8FF0000"))), x=1) is False
     assert one(spark, files.is_image(F.unhex(F.lit("3C68746D6C"))), x=1) is False
-
-
-def test_longest_chain():
-    assert increasing([(0, 1), (1, 9), (2, 2), (3, 3), (4, 0), (5, 6)]) in ([(0, 1), (2, 2), (3, 3), (5, 6)],)
-    assert increasing([]) == []
-
-
-@given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=25))
-def test_chains_increase(pairs):
-    chain = increasing(pairs)
-    assert all(a[0] < b[0] and a[1] < b[1] for a, b in zip(chain, chain[1:]))
