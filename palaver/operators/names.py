@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from palaver.functions.text import exact_or_prefix, ratio
+from palaver.functions.text import exact_or_prefix, let, ratio
+from palaver.operators.shared import materialized
 
 
 def name_pairs(asked: DataFrame, known: DataFrame, fuzzy: float | None = None) -> DataFrame:
@@ -13,8 +14,8 @@ def name_pairs(asked: DataFrame, known: DataFrame, fuzzy: float | None = None) -
 
     Equal keys are an equi-join.  For prefixes the longer name gives those of its
     prefixes whose length the score allows, a few each, and these are joined on the
-    whole shorter name, whichever side it is on.  With ``fuzzy``, names that share
-    a two-letter piece and have near lengths are compared by difflib's ratio too.
+    whole shorter name, whichever side it is on.  With ``fuzzy``, names whose share
+    of matching characters reaches it are found by ``alike``.
     """
     a, b = asked.withColumnRenamed("key", "__a"), known.withColumnRenamed("key", "__b")
     names_a, names_b = a.select("__a").distinct(), b.select("__b").distinct()
@@ -29,16 +30,63 @@ def name_pairs(asked: DataFrame, known: DataFrame, fuzzy: float | None = None) -
     close = a.join(scored, "__a").join(b, "__b")
     if fuzzy is None:
         return close
-    grams = lambda c: F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: F.substr(F.col(c), i, F.lit(2)))))
     near = F.abs(F.length("__a") - F.length("__b")) <= F.greatest(F.length("__a"), F.length("__b")) * 0.3 + 2
-    shared = names_a.withColumn("g", grams("__a")).join(names_b.withColumn("g", grams("__b")), "g").filter(near & (F.least(F.length("__a"), F.length("__b")) >= 3))
-    # A ratio of r needs at least about r * longer - 1 - 2 * (differing letters) common pairs; half of them is a safe bar.
-    counted = shared.groupBy("__a", "__b").agg(F.count("*").alias("n")).filter(F.col("n") >= F.floor(F.least(F.length("__a"), F.length("__b")) / 3))
-    alike = counted.filter(ratio("__a", "__b") >= fuzzy).select("__a", "__b")
-    more = a.join(alike, "__a").join(b, "__b").withColumn("score", F.lit(1))
+    found = alike(names_a, names_b, fuzzy).filter(near & (F.least(F.length("__a"), F.length("__b")) >= 3))
+    more = a.join(found, "__a").join(b, "__b").withColumn("score", F.lit(1))
     return close.unionByName(more.join(close.select("__a", "__b").distinct(), ["__a", "__b"], "left_anti").select(*close.columns))
 
 
+def _needed(total: Column, least: float) -> Column:
+    """Pairs of letters that two names of ``total`` letters share at least if their ratio is ``least``.
+
+    At most u = (1 - least) * total letters match nothing, and u is odd if total is.
+    The others lie in u + 1 runs at most, since an unmatched letter parts two runs,
+    and a run of m letters has m - 1 pairs in common.
+    """
+    most = F.floor(total * (1 - least) + 1e-9).cast("int")
+    unmatched = most - F.pmod(total - most, F.lit(2))
+    return F.when(unmatched < 0, total).otherwise(F.floor((total - unmatched) / 2).cast("int") - unmatched - 1)
+
+
+def _pieces(name: Column) -> Column:
+    """Pairs of letters, numbered where a pair occurs again: sets that intersect like multisets."""
+
+    def numbered(every: Column) -> Column:
+        return F.transform(every, lambda g, i: F.concat(g, F.lit(":"), F.size(F.filter(F.slice(every, 1, i), lambda h: h == g)).cast("string")))
+
+    pairs = F.transform(F.sequence(F.lit(1), F.length(name) - 1), lambda i: F.substr(name, i, F.lit(2)))
+    return F.when(F.length(name) >= 2, let(pairs, numbered)).otherwise(F.array().cast("array<string>"))
+
+
+def alike(names_a: DataFrame, names_b: DataFrame, least: float) -> DataFrame:
+    """All pairs __a, __b of different names whose share of matching characters is at least ``least``.
+
+    A prefix filter: pieces are ordered by how few names hold them; two names that
+    share t pieces share one of their first n - t + 1 in that order.  So only rare
+    pieces are joined on, a name's common ones never.  t is the proven bound for
+    the shortest name that may be alike; below a ratio of 0.8 it may be 0, so that is
+    an error.  Pairs are then held against the bound for their own lengths, and the
+    rest compared.  Names of less than three letters are alike to none.
+    """
+    if least < 0.8:
+        raise ValueError("names are compared by ratios of 0.8 or more")
+    sides = [d.filter(F.length(c) >= 3).select(F.col(c).alias("name"), F.lit(c).alias("side")) for d, c in ((names_a, "__a"), (names_b, "__b"))]
+    both = sides[0].unionByName(sides[1]).withColumn("pieces", _pieces(F.col("name"))).withColumn("n", F.length("name"))
+    shortest = F.ceil(F.col("n") * least / (2 - least) - 1e-9).cast("int")
+    longest = F.floor(F.col("n") * (2 - least) / least + 1e-9).cast("int")
+    needed = F.array_min(F.transform(F.sequence(shortest, F.greatest(shortest, longest)), lambda m: _needed(F.col("n") + m, least)))
+    both = materialized(both.withColumn("first", F.size("pieces") - F.greatest(needed, F.lit(1)) + 1), "name-pieces")
+    each = both.select("side", "name", "first", "pieces", F.explode("pieces").alias("piece"))
+    held = each.groupBy("piece").agg(F.count("*").alias("names"))
+    ordered = each.join(held, "piece").withColumn("place", F.row_number().over(Window.partitionBy("side", "name").orderBy("names", "piece")))
+    keys = ordered.filter(F.col("place") <= F.col("first"))
+    a, b = (keys.filter(F.col("side") == c).select(F.col("name").alias(c), F.col("pieces").alias(f"{c}_pieces"), "piece") for c in ("__a", "__b"))
+    la, lb = F.length("__a"), F.length("__b")
+    met = a.join(b, "piece").filter((F.col("__a") != F.col("__b")) & (F.abs(la - lb) <= (la + lb) * (1 - least) + 1e-9))
+    met = met.filter(F.size(F.array_intersect("__a_pieces", "__b_pieces")) >= _needed(la + lb, least))
+    return met.select("__a", "__b").distinct().filter(ratio("__a", "__b") >= least)
+
+
 def sole_owner(links: DataFrame, member: str, user: str) -> DataFrame:
     """member, user where all of a member's links name one user whom no other member has."""
     one = links.groupBy(member).agg(F.min(user).alias(user), F.max(user).alias("__max")).filter(F.col(user) == F.col("__max")).drop("__max")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from palaver.functions import markup, text
-from palaver.operators import brackets, chains, members, quotes
+from palaver.operators import brackets, chains, members, names, quotes
 from palaver.plans.registry import Board, query
 
 _W = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}_]+')"
@@ -104,8 +104,8 @@ def _(b: Board):
     texts = b.documents.select(F.col("doc_id").alias("id"), (F.col("n_chars") % 100).cast("long").alias("topic_id"), F.col("doc_id").alias("user_id"), clock.alias("posted_at"), "text")
     later = b.quoting.select((-F.col("post_id")).alias("id"), "topic_id", F.col("post_id").alias("user_id"), F.lit("2020-01-01").cast("timestamp_ntz").alias("posted_at"), "source")
     posts = texts.unionByName(later.withColumn("text", markup.own_text("source")).drop("source"))
-    names = b.users.select(F.col("id").alias("user_id"), F.substring(F.md5("name"), 1, 10).alias("key"))
-    return quotes.link_quotes(brackets.quotes_of(later), posts, names)
+    known = b.users.select(F.col("id").alias("user_id"), F.substring(F.md5("name"), 1, 10).alias("key"))
+    return quotes.link_quotes(brackets.quotes_of(later), posts, known)
 
 
 def _chain(pairs: str) -> str:
@@ -143,6 +143,28 @@ def _(b: Board):
     return members.link_members(old, new)
 
 
+_KNOWN = "substr(md5(name), 1, 14)"
+_ASKED = """CASE WHEN md5(name) < '4' THEN concat(substr(md5(name), 1, 4), substr(md5(name), 6, 9)) WHEN md5(name) < '8' THEN concat(substr(md5(name), 1, 6), 'zzz', substr(md5(name), 7, 8))
+ WHEN md5(name) < 'a' THEN concat('x', substr(md5(name), 2, 6), 'y', substr(md5(name), 9, 6)) WHEN md5(name) < 'd' THEN concat(substr(md5(name), 8, 7), substr(md5(name), 1, 7)) ELSE substr(md5(name), 1, 14) END"""
+
+
+@query("x2_name_ratio", "users", f"""
+WITH RECURSIVE k AS (SELECT DISTINCT {_KNOWN} AS b FROM users), q AS (SELECT DISTINCT {_ASKED} AS a FROM users),
+p AS (SELECT a, b FROM q, k WHERE a <> b AND levenshtein(a, b) <= 0.15 * (length(a) + length(b))),
+grid AS (SELECT a, b, i, j, len(list_filter(range(1, least(length(a) - i, length(b) - j) + 2), lambda n: substr(a, i, n) = substr(b, j, n))) AS n
+  FROM (SELECT a, b, i, unnest(range(1, length(b) + 1)) AS j FROM (SELECT a, b, unnest(range(1, length(a) + 1)) AS i FROM p)) WHERE substr(a, i, 1) = substr(b, j, 1)),
+seg AS (SELECT a, b, 1::BIGINT AS al, length(a) + 1 AS ah, 1::BIGINT AS bl, length(b) + 1 AS bh, 0::BIGINT AS got FROM p
+  UNION ALL
+  SELECT a, b, CASE WHEN side = 0 THEN al ELSE m.i + m.n END, CASE WHEN side = 0 THEN m.i ELSE ah END, CASE WHEN side = 0 THEN bl ELSE m.j + m.n END, CASE WHEN side = 0 THEN m.j ELSE bh END, CASE WHEN side = 0 THEN m.n ELSE 0 END
+  FROM (SELECT *, struct_pack(n := best.n, i := -best.ni, j := -best.nj) AS m FROM (SELECT a, b, al, ah, bl, bh, max(struct_pack(n := least(n, ah - i, bh - j), ni := -i, nj := -j)) AS best
+        FROM seg JOIN grid USING (a, b) WHERE i >= al AND i < ah AND j >= bl AND j < bh GROUP BY a, b, al, ah, bl, bh)) s, (VALUES (0), (1)) sides(side))
+SELECT a, b, 2.0::DOUBLE * sum(got) / (length(a) + length(b)) AS ratio FROM seg GROUP BY a, b HAVING 2.0::DOUBLE * sum(got) / (length(a) + length(b)) >= 0.85""")
+def _(b: Board):
+    """Names that are alike though letters are lost, doubled, changed or moved, among all names."""
+    asked, known = b.users.select(F.expr(_ASKED).alias("__a")).distinct(), b.users.select(F.expr(_KNOWN).alias("__b")).distinct()
+    return names.alike(asked, known, 0.85).select(F.col("__a").alias("a"), F.col("__b").alias("b"), text.ratio("__a", "__b").alias("ratio"))
+
+
 @query("l7_link_archive", "posts", """
 WITH p AS (SELECT topic_id, id, CAST(posted_at AS DATE) AS day, user_id, row_number() OVER (PARTITION BY topic_id, CAST(posted_at AS DATE), user_id ORDER BY id) AS k FROM posts),
 a AS (SELECT topic_id, post_index AS position, CAST(posted_at AS DATE) AS day, user_id, row_number() OVER (PARTITION BY topic_id, CAST(posted_at AS DATE), user_id ORDER BY post_index) AS k FROM posts WHERE flag <> 'A')
