@@ -97,6 +97,45 @@ def _select(value, keep, doc, n_docs, m, ell, bits):
     return out.reshape(n_docs, m), count.reshape(n_docs, m)
 
 
+def ordered_samples(h: np.ndarray, doc: np.ndarray, n_docs: int, m: int, ell: np.ndarray, spare: int = 4) -> np.ndarray:
+    """(n_docs, m) tuple hashes of ``m`` orders of their own, each over all k-mers of a text; 0 where a text has none.
+
+    ``ell`` is the tuple's length for each text.  Where an order ranks fewer than
+    that among the small ranks looked at first, all count.
+    """
+    base = h + (occurrences(h, doc) + np.uint64(1)) * _OCC
+    size = np.bincount(doc, minlength=n_docs)
+    ell = np.minimum(ell, size)
+    limit = np.full(n_docs, np.iinfo(np.uint64).max, dtype=np.uint64)
+    long = size > 2 * spare * ell
+    limit[long] = (2.0**64 * (spare * ell[long]) / size[long]).astype(np.uint64)
+    most = limit[doc]
+    out = np.zeros((n_docs, m), dtype=np.uint64)
+    for j in range(m):
+        value = mix(base ^ mix(np.array([j + 1], dtype=np.uint64) * _STEP)[0])
+        keep = value <= most
+        if long.any():
+            few = long & (np.bincount(doc[keep], minlength=n_docs) < ell)
+            if few.any():
+                keep |= few[doc]
+        at = np.flatnonzero(keep)
+        v, d = value[at], doc[at]
+        order = np.lexsort((v, d))
+        v, d, at = v[order], d[order], at[order]
+        begin = np.searchsorted(d, np.arange(n_docs))
+        least = np.arange(len(d)) - begin[d] < ell[d]
+        v, d, at = v[least], d[least], at[least]
+        order = np.argsort(at, kind="stable")  # text order
+        v, d = v[order], d[order]
+        place = np.arange(len(d)) - np.searchsorted(d, np.arange(n_docs))[d]
+        made = np.full(n_docs, _STEP ^ np.uint64(j))
+        for r in range(int(ell.max(initial=0))):
+            some = place == r
+            made[d[some]] = mix(made[d[some]] * _STEP + v[some])
+        out[:, j] = np.where(size > 0, np.maximum(made, np.uint64(1)), np.uint64(0))
+    return out
+
+
 def byte_kmers(b: Block, k: int) -> tuple[np.ndarray, np.ndarray]:
     """k-byte k-mers of each text; a shorter text is one k-mer itself."""
     n = b.lengths
