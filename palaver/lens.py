@@ -90,6 +90,12 @@ LENS: dict[str, tuple[tuple[str, ...], str]] = {
                ' is ', concat(' [url]http://www.metanet.forumer.com/index.php?act=ST&t=', CAST(doc_id + 1 AS STRING), '&view=findpost&p=', CAST(doc_id * 8 + 1 AS STRING), '[/url] ')),
                ' with ', ' [code] '), ' for ', ' [/CODE] '), ' on ', ' [img] http://metanet.2.forumer.com/?showtopic=1 [url=http://metanet.2.forumer.com/index.php?showtopic=7#entry33]x[/url] ') AS text
         FROM {documents} WHERE text IS NOT NULL"""),
+    "copies": (("lineitem",), """
+        SELECT l_partkey AS post_id, CASE WHEN l_linenumber < 7 THEN l_shipdate END AS captured_at, concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING), '-', CAST(floor(l_quantity) AS STRING)) AS file,
+               CASE WHEN l_quantity >= 30 THEN CAST(floor(l_quantity / 10) AS BIGINT) END AS edited_at,
+               CASE WHEN l_linenumber = 6 THEN '' ELSE concat('<a href="/', CAST(l_suppkey % 5 AS STRING), '">caf', CASE WHEN l_linestatus = 'O' THEN 'é' ELSE '' END, CAST(l_linenumber % 3 AS STRING), '</a>') END AS html,
+               l_returnflag = 'A' AS filtered, l_linestatus = 'F' OR l_suppkey % 3 = 0 AS lossy, CASE WHEN l_linenumber <> 5 THEN l_orderkey END AS topic_id, CAST(l_suppkey % 9 AS BIGINT) AS forum_id
+        FROM {lineitem}"""),
     "attachments": (("part",), """
         SELECT p_partkey AS id, concat('http://2.forumer.com/uploads/metanet/post-', CAST(p_partkey % 30 AS STRING), '-', CAST(1100000000 + p_partkey AS STRING), '.jpg') AS url FROM {part} WHERE p_partkey % 3 <> 0
         UNION ALL
