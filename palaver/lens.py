@@ -124,12 +124,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts by key: of rows that share an id the last in full-row order stays, as in an upsert.
 
-    The table is written once a session and folder, and read by all queries.
+    The table is written once for each state of a session's input, and read by all
+    queries; input that was written anew since is read anew.
     """
     from palaver.operators.shared import materialized
     from palaver.operators.upsert import last_of_batch
 
-    key = spark.sparkContext.applicationId, sf_dir
+    key = spark.sparkContext.applicationId, sf_dir, _state(spark, f"{sf_dir}/lineitem.parquet")
     if key in _written:
         with contextlib.suppress(AnalysisException):  # the folder may have been cleared
             return spark.read.parquet(_written[key])
@@ -140,7 +141,15 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-_written: dict[tuple[str, str], str] = {}
+def _state(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Size, number of files and last change of a table."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    whole = fs.getContentSummary(at)
+    return whole.getLength(), whole.getFileCount(), fs.getFileStatus(at).getModificationTime()
+
+
+_written: dict[tuple, str] = {}
 
 
 _POSTS_SQL = """SELECT * FROM post_rows QUALIFY row_number() OVER (PARTITION BY id ORDER BY topic_id DESC, user_id DESC, post_index DESC, posted_at DESC,

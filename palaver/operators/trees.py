@@ -32,7 +32,7 @@ def paths(forums: DataFrame) -> DataFrame:
         if open_.isEmpty():
             break
     out = finished.join(forums.select("id", "name"), "id")
-    key = F.array_join(F.transform("path", lambda i: F.lpad(i.cast("string"), 12, "0")), "/")
+    key = F.array_join(F.transform("path", lambda i: F.lpad(i.cast("string"), 19, "0")), "/")
     return out.select("id", "name", (F.size("path") - 1).alias("depth"), "path", key.alias("sort_path"))
 
 

@@ -127,11 +127,11 @@ def _(b: Board):
     return among(b.posts.filter("flag <> 'A'"), b.posts.filter("flag = 'A' and quantity > 48"), "part_id").select("id")
 
 
-@query("j12_unlinked_attachments", "files posts", "SELECT f.id, p.topic_id FROM files f JOIN posts p ON p.id = f.first_post_id WHERE f.kind = 'file' AND f.data IS NULL")
+@query("j12_unlinked_attachments", "files posts", "SELECT f.id, p.topic_id FROM files f JOIN posts p ON p.id = f.first_post_id WHERE f.kind <> 'link' AND f.data IS NULL")
 def _(b: Board):
     from palaver.operators.pending import unlinked_attachments
 
-    return unlinked_attachments(b.files.filter("kind = 'file'"), b.posts).select("id", "topic_id")
+    return unlinked_attachments(b.files.filter("kind <> 'link'"), b.posts).select("id", "topic_id")
 
 
 @query("o5_user_listing", "users", "SELECT id, CAST(row_number() OVER (ORDER BY CASE WHEN group_name <> 'BUILDING' THEN id END NULLS LAST, -id DESC) AS BIGINT) AS place FROM users")

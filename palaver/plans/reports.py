@@ -255,11 +255,11 @@ def _(b: Board):
                     ("only second", F.count_if(F.col("a").isNull())), ("shown", F.count("a") + F.count("b") - F.count_if(same)))
 
 
-@query("r27_source_polls", "polls topics", sql_rows(f"(SELECT a.topic_id AS a, b.topic_id AS b, a.votes AS va, b.votes AS vb FROM (SELECT topic_id, {_VOTES} AS votes FROM polls WHERE topic_id % 3 <> 0) a FULL JOIN (SELECT topic_id, topic_id % 20 AS votes FROM polls WHERE topic_id % 4 <> 0) b ON a.topic_id = b.topic_id)",
+@query("r27_source_polls", "polls topics", sql_rows(f"(SELECT a.topic_id AS a, b.topic_id AS b, a.votes AS va, b.votes AS vb FROM (SELECT topic_id, {_VOTES} AS votes FROM polls WHERE max_options <= 2) a FULL JOIN (SELECT topic_id, topic_id % 20 AS votes FROM polls WHERE max_options >= 2) b ON a.topic_id = b.topic_id)",
     ("results", "count(*)"), ("second only", "count(*) FILTER (WHERE a IS NULL)"), ("second has more", "count(*) FILTER (WHERE vb > va)")))
 def _(b: Board):
-    a = two_votes(b.polls).filter("topic_id % 3 <> 0").select(F.col("topic_id").alias("a"), F.col("votes").alias("va"))
-    s = b.polls.filter("topic_id % 4 <> 0").select(F.col("topic_id").alias("b"), (F.col("topic_id") % 20).alias("vb"))
+    a = two_votes(b.polls.filter("max_options <= 2")).select(F.col("topic_id").alias("a"), F.col("votes").alias("va"))
+    s = b.polls.filter("max_options >= 2").select(F.col("topic_id").alias("b"), (F.col("topic_id") % 20).alias("vb"))
     j = a.join(s, F.col("a") == F.col("b"), "full_outer")
     return measures(j, ("results", F.count("*")), ("second only", F.count_if(F.col("a").isNull())), ("second has more", F.count_if(F.col("vb") > F.col("va"))))
 
