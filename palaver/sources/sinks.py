@@ -1,8 +1,7 @@
-"""Sinks: reports as text, Markdown or HTML, pages and files as one file a row."""
+"""Sinks: reports as text, Markdown or HTML; ``files`` writes one file a row."""
 
 from __future__ import annotations
 
-import os
 import re
 from html import escape
 
@@ -52,18 +51,3 @@ def safe_name(name: str) -> str:
     """A path below the folder: no root, no drive, no step upwards, no marks that file systems refuse."""
     parts = [re.sub(r'[\\:*?"<>|\x00-\x1f]', "_", p).rstrip(". ") or "_" for p in name.split("/") if p not in ("", ".")]
     return "/".join("_" if set(p) == {"."} else p for p in parts) or "_"
-
-
-def write_files(rows: DataFrame, folder: str, name: str = "name", data: str = "data") -> None:
-    """One file a row, written by the tasks; the folder must be one that all of them share."""
-
-    def write(part) -> None:
-        for r in part:
-            path = os.path.join(folder, safe_name(r[name]))
-            os.makedirs(os.path.dirname(path), exist_ok=True)
-            body = r[data]
-            with open(f"{path}.tmp", "wb") as f:
-                f.write(body.encode() if isinstance(body, str) else bytes(body))
-            os.replace(f"{path}.tmp", path)  # a retried task overwrites the same file
-
-    rows.select(name, data).foreachPartition(write)

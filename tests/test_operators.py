@@ -183,9 +183,23 @@ def test_image_outcomes(spark):
 
 
 def test_files_are_written_once(spark, tmp_path):
-    from palaver.sources.sinks import write_files
+    from palaver.sources.files import write_files
 
     df = spark.createDataFrame([("a/x.html", "hi"), ("b.html", "é")], "name string, data string")
     for _ in range(2):
         write_files(df, str(tmp_path))
     assert (tmp_path / "a" / "x.html").read_text() == "hi" and sorted(p.name for p in tmp_path.iterdir()) == ["a", "b.html"]
+
+
+def test_a_failed_job_leaves_no_file(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from palaver.sources.files import write_files
+
+    (tmp_path / "0.html").write_text("before")
+    df = spark.range(0, 40, 1, 4).select(F.concat(F.col("id").cast("string"), F.lit(".html")).alias("name"), F.when(F.col("id") < 39, "new").otherwise(F.raise_error(F.lit("lost"))).alias("data"))
+    with pytest.raises(Exception, match="lost"):
+        write_files(df, str(tmp_path))
+    assert [p.name for p in tmp_path.iterdir()] == ["0.html"] and (tmp_path / "0.html").read_text() == "before"
+    write_files(df.filter("name <> '39.html'"), str(tmp_path))
+    assert len(list(tmp_path.iterdir())) == 39 and (tmp_path / "0.html").read_text() == "new"
