@@ -50,3 +50,19 @@ def _(b: Board):
     captures = b.posts.select(F.col("topic_id").alias("attach_id"), F.col("posted_at").alias("at"), F.concat(F.lit("arch-"), F.col("id").cast("string")).alias("archived"), F.when(F.col("id") % 2 == 0, "x.JPG").otherwise("y.gif").alias("file_name"), (F.col("flag") != "N").alias("valid"))
     rows = lacking.select("id", F.when(F.col("id") % 5 < 2, F.col("id") * 4).alias("old_attach_id"))
     return recovery.recovered_files(numbers, captures, rows)
+
+
+@query("s13_claimed_snapshots", "", """
+WITH s AS (SELECT strftime(o_orderdate, '%Y%m%d') || '000000' AS timestamp, 'index__q' || o_custkey || '.php' AS file_id, 'http://h/?c=' || o_custkey AS url FROM orders),
+l AS (SELECT DISTINCT timestamp, CASE WHEN o % 5 = 0 THEN 'odd-' || file_id ELSE file_id END AS file_id FROM (SELECT strftime(o_orderdate, '%Y%m%d') || '000000' AS timestamp, 'index__q' || o_custkey || '.php' AS file_id, o_orderkey AS o FROM orders) WHERE o % 7 <> 3),
+k AS (SELECT timestamp, file_id, min(url) AS url FROM s GROUP BY ALL),
+f AS (SELECT k.* FROM k LEFT JOIN l USING (timestamp, file_id) WHERE l.file_id IS NULL), u AS (SELECT l.* FROM l LEFT JOIN k USING (timestamp, file_id) WHERE k.url IS NULL)
+SELECT l.timestamp, l.file_id, coalesce(k.url, CASE WHEN (SELECT count(*) FROM u WHERE u.timestamp = l.timestamp) = 1 AND (SELECT count(*) FROM f WHERE f.timestamp = l.timestamp) = 1 THEN (SELECT min(url) FROM f WHERE f.timestamp = l.timestamp) END) AS url
+FROM l LEFT JOIN k USING (timestamp, file_id)""")
+def _(b: Board):
+    from palaver.sources.dumps import claimed_snapshots
+
+    name = F.concat(F.lit("index__q"), F.col("o_custkey").cast("string"), F.lit(".php"))
+    rows = b.orders.select(F.concat(F.date_format("o_orderdate", "yyyyMMdd"), F.lit("000000")).alias("timestamp"), name.alias("file_id"), F.concat(F.lit("http://h/?c="), F.col("o_custkey").cast("string")).alias("url"), "o_orderkey")
+    listed = rows.filter("o_orderkey % 7 <> 3").withColumn("file_id", F.when(F.col("o_orderkey") % 5 == 0, F.concat(F.lit("odd-"), F.col("file_id"))).otherwise(F.col("file_id")))
+    return claimed_snapshots(listed, rows.drop("o_orderkey"))

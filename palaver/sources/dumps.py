@@ -47,6 +47,41 @@ def read_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     return files.filter(stamp != "").select(F.try_url_decode(name).alias("file_id"), capture_time(stamp).alias("captured_at"), "content", F.col("length").alias("size"), F.lit("snapshots").alias("source"))
 
 
+def claimed_snapshots(listed: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """timestamp, file_id, url of downloaded files (timestamp, file_id); url is null where no snapshot explains one.
+
+    ``snapshots``: timestamp, file_id, url; of several addresses with one id the least
+    counts.  A name that the downloader made in another way is the one snapshot of its
+    time that no file claims, if it is the one such name.
+    """
+    known = snapshots.groupBy("timestamp", "file_id").agg(F.min("url").alias("url"))
+    files = listed.select("timestamp", "file_id").distinct()
+    both = files.withColumn("__file", F.lit(1)).join(known, ["timestamp", "file_id"], "full_outer")
+    odd = F.col("url").isNull()
+    free = F.col("__file").isNull()
+    left = both.groupBy("timestamp").agg(F.count_if(odd).alias("__odd"), F.count_if(free).alias("__free"), F.min(F.when(free, F.col("url"))).alias("__url"))
+    found = both.filter("`__file` = 1").join(left, "timestamp")
+    forced = odd & (F.col("__odd") == 1) & (F.col("__free") == 1)
+    return found.select("timestamp", "file_id", F.when(forced, F.col("__url")).otherwise(F.col("url")).alias("url"))
+
+
+def layout_of(paths: DataFrame, manifest: str) -> str:
+    """'flat', 'hashed' or 'snapshots', from the paths (relative, column path) below a dump's folder.
+
+    A dump without its manifest is flat; folders named by 14 digits hold snapshots.
+    """
+    stamped = F.col("path").rlike(r"^\d{14}/")
+    seen = paths.agg(F.bool_or(F.col("path") == manifest).alias("listed"), F.bool_or(stamped).alias("stamped")).first()  # one row
+    return "flat" if not seen["listed"] else "snapshots" if seen["stamped"] else "hashed"
+
+
+def decoded(x: Column) -> Column:
+    """An address without percent codes, however often it was encoded; what is no code stays."""
+    once = lambda t: F.coalesce(F.try_url_decode(F.replace(F.regexp_replace(t, r"%(?![0-9A-Fa-f]{2})", "%25"), F.lit("+"), F.lit("%2B"))), t)
+    # Each pass takes one level of codes away, and a text has no more levels than codes.
+    return F.aggregate(F.sequence(F.lit(0), F.regexp_count(x, F.lit("%"))), x, lambda t, _: once(t))
+
+
 def merge_dumps(dumps: list[DataFrame]) -> DataFrame:
     """Each capture once: snapshots before flat files of the same size before hashed copies of the same time."""
     every = reduce(lambda a, b: a.unionByName(b), dumps)

@@ -38,3 +38,19 @@ def test_files_of_numbers(spark):
         (1, 50, "a", "recovered by time"), (2, 51, "b", "recovered"), (2, 60, "b", "recovered"), (3, 0, None, "guess not confirmed"),
         (4, 61, "d", "recovered"), (5, 0, None, "nothing missing"), (6, 0, None, "archived copies aren't the file"),
     ]
+
+
+def test_manifests(spark):
+    from pyspark.sql import functions as F
+
+    from palaver.sources import dumps
+
+    snapshots = spark.createDataFrame([("1", "a", "u1"), ("1", "b", "u2"), ("2", "a", "u3"), ("2", "b", "u4"), ("3", "a", "u5"), ("4", "a", "u6")], "timestamp string, file_id string, url string")
+    listed = spark.createDataFrame([("1", "a"), ("1", "odd"), ("2", "odd"), ("3", "odd"), ("3", "odder"), ("4", "a"), ("4", "odd")], "timestamp string, file_id string")
+    got = {(r["timestamp"], r["file_id"]): r["url"] for r in dumps.claimed_snapshots(listed, snapshots).collect()}
+    assert got == {("1", "a"): "u1", ("1", "odd"): "u2", ("2", "odd"): None, ("3", "odd"): None, ("3", "odder"): None, ("4", "a"): "u6", ("4", "odd"): None}
+    layouts = [("cdx.json", "20100101000000/a"), ("cdx.json", "index__q1.php"), ("index.php_x", "a/t1.html")]
+    assert [dumps.layout_of(spark.createDataFrame([(p,) for p in paths], "path string"), "cdx.json") for paths in layouts] == ["snapshots", "hashed", "flat"]
+    texts = {"a%2520b": "a b", "100%": "100%", "%25%32%30x+y": " x+y", "%E4%BD%A0": "你", "": ""}
+    rows = spark.createDataFrame([(t,) for t in texts], "x string").select("x", dumps.decoded(F.col("x")).alias("y")).collect()
+    assert {r["x"]: r["y"] for r in rows} == texts
