@@ -86,6 +86,17 @@ def archive_position(name: Column) -> Column:
 
 
 def query_candidates(queries):
-    """Both spellings of each candidate query, with their hashes; joins restore hashed links."""
-    both = queries.select("query", F.explode(F.array(F.col("query"), F.replace("query", F.lit("&"), F.lit("&amp;")))).alias("spelling"))
-    return both.select("query", query_hash(F.col("spelling")).alias("hash")).distinct()
+    """Both spellings of each candidate query, with their hashes and all its columns."""
+    both = queries.select("*", F.explode(F.array(F.col("query"), F.replace("query", F.lit("&"), F.lit("&amp;")))).alias("spelling"))
+    return both.withColumn("hash", query_hash(F.col("spelling"))).drop("spelling").distinct()
+
+
+def restored(links, queries, *own: str):
+    """The links (``hash`` and more) with the query of each that is known.
+
+    Twelve digits are 48 bits, too few for the queries of a large board: queries of
+    two topics may have one hash.  ``own`` names columns that a link and its query
+    share, such as the topic of its page, so that only queries made from a page's own
+    numbers are taken for its links.
+    """
+    return links.join(query_candidates(queries), ["hash", *own])

@@ -209,10 +209,10 @@ def _(b: Board):
 SELECT t.id, 'showtopic=' || t.id || '&st=' || (t.id % 3 * 25) AS query FROM topics t WHERE t.stickied""")
 def _(b: Board):
     spelled = F.concat(F.lit("showtopic="), F.col("id").cast("string"), F.lit("&st="), F.col("st").cast("string"))
-    candidates = b.topics.select("id", F.explode(F.array(F.lit(0), F.lit(25), F.lit(50))).alias("st")).select(spelled.alias("query"))
+    candidates = b.topics.select("id", F.explode(F.array(F.lit(0), F.lit(25), F.lit(50))).alias("st")).select("id", spelled.alias("query"))
     asked = F.concat(F.lit("showtopic="), F.col("id").cast("string"), F.lit("&amp;st="), (F.col("id") % 3 * 25).cast("string"))
     pages = b.topics.filter("stickied").select("id", urls.query_hash(asked).alias("hash"))
-    return pages.join(urls.query_candidates(candidates), "hash").select("id", "query")
+    return urls.restored(pages, candidates, "id").select("id", "query")
 
 
 @query("x80_minutes", "posts", "SELECT id, date_diff('minute', TIMESTAMP '1970-01-01', posted_at) AS m FROM posts")

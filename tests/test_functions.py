@@ -126,3 +126,12 @@ def test_file_kinds(spark):
     assert one(spark, files.whole_image(png), x=1) is True
     assert one(spark, files.whole_image(F.unhex(F.lit("FFD8FF0000"))), x=1) is False
     assert one(spark, files.is_image(F.unhex(F.lit("3C68746D6C"))), x=1) is False
+
+
+def test_links_of_one_hash_are_told_apart_by_their_pages(spark):
+    """Two real queries whose twelve digits agree: each page keeps its own topic's."""
+    queries = spark.createDataFrame([(i, f"showtopic={i}&st={st}") for i in (26000052806, 12000096415) for st in (0, 25, 50)], "id long, query string")
+    asked = F.concat(F.lit("showtopic="), F.col("id").cast("string"), F.lit("&amp;st="), F.col("st"))
+    links = spark.createDataFrame([(26000052806, "50"), (12000096415, "0")], "id long, st string").select("id", urls.query_hash(asked).alias("hash"))
+    assert urls.query_candidates(queries).groupBy("hash").count().filter("count > 1").count() == 1
+    assert {tuple(r) for r in urls.restored(links, queries, "id").select("id", "query").collect()} == {(26000052806, "showtopic=26000052806&st=50"), (12000096415, "showtopic=12000096415&st=0")}
