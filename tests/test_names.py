@@ -39,3 +39,13 @@ def test_the_named_pairs(spark):
     b = spark.createDataFrame([("ahahahahahah",), ("aaaaaaaa",)], "key string")
     got = {(r["__a"], r["__b"], r["score"]) for r in names.name_pairs(a, b, 0.85).collect()}
     assert got == {("hahahahahaha", "ahahahahahah", 1), ("xaaaaaaaa", "aaaaaaaa", 1)}
+
+
+def test_unlike_names_hardly_meet(spark):
+    """Of 4 million pairs of names over sixteen letters only those come up that nearly are alike."""
+    rng = random.Random(2)
+    known = ["".join(rng.choice("0123456789abcdef") for _ in range(14)) for _ in range(2000)]
+    asked = [w[:4] + w[5:] if i % 3 == 0 else w[:6] + "zzz" + w[6:] if i % 3 == 1 else "x" + w[1:7] + "y" + w[8:] for i, w in enumerate(known)]
+    frames = spark.createDataFrame([(x,) for x in asked], "__a string"), spark.createDataFrame([(y,) for y in known], "__b string")
+    met = {tuple(r) for r in names.may_be_alike(*frames, 0.85).collect()}
+    assert met >= set(zip(asked, known, strict=True)) and len(met) < 2 * len(known)
