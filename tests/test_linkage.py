@@ -245,3 +245,16 @@ def test_attributions():
     assert attribution('[quote="A \\"b\\" c" date="x" pid=4]') == {"author": 'A "b" c', "date": "x", "unix": None, "post_ref": 4, "user_ref": None}
     assert attribution("[quote=O'Neil]")["author"] == "O'Neil"
     assert opening_tag("(Al @ someday)") == '[quote="Al @ someday"]' and opening_tag("") == "[quote]"
+
+
+def test_only_posts_of_the_author_are_met_in_a_topic(spark):
+    """Of the last 500 posts up to a bound, and of no earlier or later ones, those by the author."""
+    at = "timestamp'2005-01-01' + make_interval(0, 0, 0, 0, 0, cast(id as int))"
+    posts = spark.range(1200).selectExpr("id as post_id", "7 as topic_id", "id % 3 as user_id", f"cast({at} as timestamp_ntz) as posted_at")
+    bounds = spark.createDataFrame([("a", 7, 799), ("b", 7, None), ("c", 8, None)], "quote_id string, topic_id int, id int").selectExpr("quote_id", "topic_id", f"cast({at} as timestamp_ntz) as before")
+    by_user = spark.createDataFrame([("a", 1, 2), ("b", 0, 1), ("c", 1, 2)], "quote_id string, user_id long, score int")
+    by_post = spark.createDataFrame([("a", 5, 2), ("a", 300, 2), ("a", 600, 2), ("a", 601, 1)], "quote_id string, post_id long, score int")
+    got = sorted(tuple(r) for r in quotes.latest_of_topic(bounds, posts, by_user, by_post).select("quote_id", "post_id").collect())
+    last = 799 + quotes.SLACK
+    a = {i for i in range(last - quotes.SCAN + 1, last + 1) if i % 3 == 1 or i in (600, 601)}
+    assert got == sorted([("a", i) for i in a | ({300} if last - quotes.SCAN < 300 else set())] + [("b", i) for i in range(700, 1200) if i % 3 == 0])
