@@ -203,3 +203,16 @@ def test_a_failed_job_leaves_no_file(spark, tmp_path):
     assert [p.name for p in tmp_path.iterdir()] == ["0.html"] and (tmp_path / "0.html").read_text() == "before"
     write_files(df.filter("name <> '39.html'"), str(tmp_path))
     assert len(list(tmp_path.iterdir())) == 39 and (tmp_path / "0.html").read_text() == "new"
+
+
+def test_nearest_marks_are_running_windows(spark, capsys):
+    """No frame runs from each row to the end, which Spark reads again for every row."""
+    points = spark.range(0, 40).filter("id % 5 <> 0")
+    known = spark.sql("select id, timestampadd(DAY, id, timestamp_ntz'2020-01-01') as ts from range(40) where id in (3, 17, 18, 31)")
+    for found in (ranges.asof_by_blocks(points, known, width=4), ranges.asof_window(points, known)):
+        found.explain()
+        plan = capsys.readouterr().out
+        assert "Window" in plan and "unboundedfollowing" not in plan
+        days = {r["id"]: (r["low"] and r["low"].timetuple().tm_yday - 1, r["high"] and r["high"].timetuple().tm_yday - 1) for r in found.collect()}
+        assert days[2] == days[3] == days[32] == (None, None)
+        assert days[4] == days[17] == (3, 17) and days[18] == (17, 18) and days[19] == days[31] == (18, 31)
