@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palaver.functions.attachments import extension, file_key
+from palaver.operators.shared import materialized
 
 
 def best_avatars(members: DataFrame, captures: DataFrame) -> DataFrame:
@@ -31,11 +32,14 @@ def guessed_uploads(numbers: DataFrame, missing: DataFrame) -> DataFrame:
 
     ``numbers``: attach_id, low, high.  ``missing``: upload_id, posted_at.
     """
-    from palaver.operators.ranges import bucketed_range_join, minutes
+    from palaver.operators.ranges import day_number, first_from, following
 
-    low, high, at = minutes(F.col("low")), minutes(F.col("high")), minutes(F.col("posted_at"))
-    inside = bucketed_range_join(numbers, missing, low, high, at, 1440, []).filter(F.col("posted_at").between(F.col("low"), F.col("high")))
-    return inside.groupBy("attach_id").agg(F.count("*").alias("n"), F.min("upload_id").alias("upload_id")).filter("n = 1").drop("n")
+    # One row a time; an interval holds one upload if its first time does and the next time lies behind its end.
+    times = missing.filter("posted_at is not null").groupBy("posted_at").agg(F.count("*").alias("n"), F.min("upload_id").alias("upload_id"))
+    times = following(times, "posted_at", ["posted_at"], block=day_number(F.col("posted_at")))
+    inside = first_from(numbers.select("attach_id", "low", "high"), times, "low", "posted_at").filter(F.col("found.posted_at") <= F.col("high"))
+    n = F.when(F.col("found.next_posted_at") <= F.col("high"), 2).otherwise(F.col("found.n"))
+    return inside.groupBy("attach_id").agg(F.sum(n).alias("n"), F.min("found.upload_id").alias("upload_id")).filter("n = 1").drop("n")
 
 
 def recovered_files(numbers: DataFrame, captures: DataFrame, rows: DataFrame, most: int = 3) -> DataFrame:
@@ -55,7 +59,8 @@ def recovered_files(numbers: DataFrame, captures: DataFrame, rows: DataFrame, mo
     known = known.join(lacking, "upload_id", "left")
     upload = F.when(F.coalesce("__lacks", F.lit(False)) & confirmed, F.col("upload_id"))
     tried = F.coalesce("__lacks", F.lit(False))
-    known = known.select("attach_id", "f", upload.alias("upload"), tried.alias("tried"), F.coalesce("guessed", F.lit(False)).alias("guessed"), confirmed.alias("confirmed"))
+    # Read three times below, and worked out once.
+    known = materialized(known.select("attach_id", "f", upload.alias("upload"), tried.alias("tried"), F.coalesce("guessed", F.lit(False)).alias("guessed"), confirmed.alias("confirmed")), "recovery")
     own = rows.filter("old_attach_id is not null").select(F.col("old_attach_id").alias("attach_id"), F.col("id").alias("target"))
     both = known.join(own, "attach_id").select("attach_id", "target").union(known.filter("upload is not null").select("attach_id", F.col("upload").alias("target"))).distinct()
     out = known.join(both, "attach_id", "left")

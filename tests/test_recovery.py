@@ -54,3 +54,16 @@ def test_manifests(spark):
     texts = {"a%2520b": "a b", "100%": "100%", "%25%32%30x+y": " x+y", "%E4%BD%A0": "你", "": ""}
     rows = spark.createDataFrame([(t,) for t in texts], "x string").select("x", dumps.decoded(F.col("x")).alias("y")).collect()
     assert {r["x"]: r["y"] for r in rows} == texts
+
+
+def test_guessed_uploads_do_not_multiply_with_the_uploads_around(spark, capsys):
+    missing = spark.sql("""select * from values (1L, timestamp_ntz'2020-01-02 00:00'), (2L, timestamp_ntz'2020-01-09 12:00'), (3L, timestamp_ntz'2020-01-09 12:00'),
+        (4L, timestamp_ntz'2020-03-01 10:00'), (5L, null), (6L, timestamp_ntz'2020-03-01 10:01') as t(upload_id, posted_at)""")
+    numbers = spark.sql("""select * from values (1L, timestamp_ntz'2020-01-01 00:00', timestamp_ntz'2020-01-02 00:00'), (2L, timestamp_ntz'2020-01-02 00:00', timestamp_ntz'2020-01-09 11:59'),
+        (3L, timestamp_ntz'2020-01-03 00:00', timestamp_ntz'2020-02-03 00:00'), (4L, timestamp_ntz'2020-01-10 00:00', timestamp_ntz'2020-03-01 10:00'), (5L, timestamp_ntz'2020-01-10 00:00', timestamp_ntz'2020-03-02 00:00'),
+        (6L, timestamp_ntz'2020-03-02 00:00', timestamp_ntz'2020-04-01 00:00'), (7L, null, timestamp_ntz'2020-04-01 00:00'), (8L, timestamp_ntz'2020-03-01 10:00:30', timestamp_ntz'2020-03-01 10:01'),
+        (9L, timestamp_ntz'2020-01-02 00:00', timestamp_ntz'2020-01-01 00:00'), (10L, timestamp_ntz'2019-12-01 00:00', timestamp_ntz'2020-01-01 23:59') as t(attach_id, low, high)""")
+    found = recovery.guessed_uploads(numbers, missing)
+    assert {(r["attach_id"], r["upload_id"]) for r in found.collect()} == {(1, 1), (2, 1), (4, 4), (8, 6)}
+    found.explain()
+    assert "Generate" not in capsys.readouterr().out  # an interval was a row for each of its days before
