@@ -28,6 +28,20 @@ def test_upsert_twice_is_once(spark):
     assert rows(upsert.upsert(once, new, ["id"])) == rows(once)
 
 
+def test_posts_are_dealt_before_they_are_sorted(spark, sf_dir, monkeypatch):
+    from palaver import lens
+    from palaver.operators import shared
+
+    seen = []
+    monkeypatch.setattr(lens, "_written", {})
+    monkeypatch.setattr(shared, "materialized", lambda df, name, materialized=shared.materialized: seen.append(df) or materialized(df, name))
+    posts = lens.posts(spark, sf_dir)
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.rindex("Exchange") :]
+    assert "Sort" not in below and "Aggregate" not in below
+    assert posts.count() == posts.select("id").distinct().count() == lens.table(spark, sf_dir, "post_rows").select("id").distinct().count()
+
+
 def test_number_rows_is_a_total_order(spark):
     df = spark.range(1000).selectExpr("1000 - id as v")
     assert rows(upsert.number_rows(df, ["v"], "n")) == [(i, i) for i in sorted(range(1, 1001), key=repr)] or {r["v"]: r["n"] for r in upsert.number_rows(df, ["v"], "n").collect()} == {i: i for i in range(1, 1001)}
