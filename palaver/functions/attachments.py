@@ -15,13 +15,15 @@ TRAILING = ".,;:!?)"
 
 
 def _upload(url: Column) -> Column:
-    name = F.url_decode(F.replace(F.regexp_extract(url, r"([^/]*)$", 1), F.lit("+"), F.lit("%2B")))
-    forum, seconds = F.regexp_extract(name, UPLOAD_NAME, 1), F.regexp_extract(name, UPLOAD_NAME, 2)
-    made = F.struct(
-        F.lit("upload").alias("kind"), url.alias("url"), name.alias("name"), F.nullif(forum, F.lit("")).cast("long").alias("old_forum_id"),
-        F.timestamp_seconds(F.nullif(seconds, F.lit("")).cast("long")).cast("timestamp_ntz").alias("uploaded_at"), F.lit(None).cast("long").alias("old_attach_id"),
-    )
-    return F.when(name != "", made)
+    def read(name: Column) -> Column:
+        forum, seconds = (F.regexp_extract(name, UPLOAD_NAME, i).try_cast("long") for i in (1, 2))
+        made = F.struct(
+            F.lit("upload").alias("kind"), url.alias("url"), name.alias("name"), forum.alias("old_forum_id"),
+            F.timestamp_seconds(seconds).cast("timestamp_ntz").alias("uploaded_at"), F.lit(None).cast("long").alias("old_attach_id"),
+        )
+        return F.when(name != "", made)
+
+    return let(F.url_decode(F.replace(F.substring_index(url, "/", -1), F.lit("+"), F.lit("%2B"))), read)
 
 
 def canonical(ref: Column) -> Column:

@@ -50,7 +50,9 @@ def _files(b: Board):
     files = b.attachments.select("id", "url", F.when(act, F.col("id") % 50).alias("old_attach_id"), F.when(act, "attach-id").otherwise("upload").alias("kind"), F.when(F.col("id") % 5 < 3, "x").alias("data"))
     number = F.col("p_partkey")
     ref = F.concat(F.lit("/attach/ma/post-"), (number % 30).cast("string"), F.lit("-"), (1_100_000_000 + number).cast("string"), F.lit(".jpg"))
-    return files, b.part.filter("p_size % 2 = 0").select((number % 50).alias("post_id"), canonical(ref)["url"].alias("url"))
+    # Parts are small rows of few splits, reading an address is not: it is dealt over all cores first.
+    blocks = b.part.filter("p_size % 2 = 0").select((number % 50).alias("post_id"), ref.alias("ref")).repartition("ref")
+    return files, blocks.select("post_id", canonical(F.col("ref"))["url"].alias("url"))
 
 
 @query("l8_tied_attachments", "attachments", f"""

@@ -29,3 +29,18 @@ def test_ties(spark):
     got = {r["post_id"]: r["attachment_id"] for r in assignment.tie_attachments(rows, files, blocks).collect()}
     assert got == {1: 10, 2: 11, 3: 10, 4: None, 5: None}
     assert [tuple(r) for r in assignment.pair_attachments(files, blocks).collect()] == [(13, 10, 13, 10)]
+
+
+def test_addresses_of_uploads_are_read_on_all_cores(spark, sf_dir):
+    from palaver.plans.assigning import _files
+    from palaver.plans.registry import Board
+
+    _, blocks = _files(Board(spark, sf_dir))
+    plan = blocks._jdf.queryExecution().executedPlan().toString()
+    assert "transform" not in plan[plan.rindex("Exchange") :]  # parts are dealt before their addresses are read
+    number = spark.read.parquet(f"{sf_dir}/part.parquet").filter("p_size % 2 = 0").select("p_partkey").collect()
+    assert rows_of(blocks) == sorted((k % 50, f"http://2.forumer.com/uploads/metanet/post-{k % 30}-{1_100_000_000 + k}.jpg") for (k,) in number)
+
+
+def rows_of(df):
+    return sorted(tuple(r) for r in df.collect())
