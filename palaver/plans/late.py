@@ -34,7 +34,7 @@ def _(b: Board):
     copies = b.copies.distinct()
     log = KeyedLog(b.spark, _folder(b, "copies"), copies.schema, "post_id", 16)
     results = KeyedLog(b.spark, _folder(b, "kept"), kept_posts(copies).schema, "post_id", 16)
-    parts = materialized(copies.withColumn("part", F.pmod(F.xxhash64("file"), F.lit(3))), "copies")
+    parts = materialized(copies.withColumn("part", F.pmod(F.xxhash64("file"), F.lit(3))), "copies", "part")
     for number, part in ((1, 2), (2, 0), (2, 0), (3, 1)):
         apply_batch(log, results, parts.filter(F.col("part") == part).drop("part"), number, kept_posts)
     return results.latest()

@@ -82,8 +82,9 @@ def apply_batch(log: KeyedLog, results: KeyedLog, batch: DataFrame, number: int,
     log.write(batch, number)
     touched = batch.select(log.key).distinct()
     buckets = [r[0] for r in touched.select(log.bucket().alias("b")).distinct().collect()]  # at most BUCKETS numbers
-    rows = log.read(buckets).join(touched, log.key, "left_semi").drop("batch", "seen")
-    seen = rows.groupBy(log.key).agg(F.count("*").alias("seen"))
+    whole = log.read(buckets)
+    rows = whole.join(touched, log.key, "left_semi").drop("batch", "seen")
+    seen = whole.groupBy(log.key).agg(F.count("*").alias("seen"))  # reads the keys alone
     results.write(compute(rows).join(seen, log.key), number)
 
 
@@ -117,20 +118,18 @@ def kept_posts(copies: DataFrame) -> DataFrame:
     lossy ones that look alike after it.  Where the post lies is the latest copy's.
     """
     rows = copies.withColumn("at", F.struct(F.col("captured_at").isNotNull().alias("known"), "captured_at", "file", "html"))
-    along = Window.partitionBy("post_id").orderBy("at")
+    place, along = Window.partitionBy("post_id"), Window.partitionBy("post_id").orderBy("at")
     stamp = F.struct(F.col("edited_at").isNotNull().alias("known"), "edited_at")
     rows = rows.filter(F.length("html") > 0).withColumn("stamp", stamp)
-    rows = rows.withColumn("up", F.coalesce(F.col("stamp") > F.max("stamp").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False)))
-    place = Window.partitionBy("post_id")
-    rows = rows.withColumn("edited", F.bool_or("up").over(place))
-    for c in ("topic_id", "forum_id"):
-        rows = rows.withColumn(f"last_{c}", F.max(F.when(F.col(c).isNotNull(), F.struct("at", c))).over(place)[c])
-    top = rows.withColumn("top", F.max("stamp").over(place)).filter("stamp = top").withColumn("n", F.row_number().over(along))
+    # Some stamp is above all before it if the greatest is above the first.  Only copies of that stamp are put in order.
+    last = {f"last_{c}": F.max_by(c, F.when(F.col(c).isNotNull(), F.struct("at", c))).over(place) for c in ("topic_id", "forum_id")}
+    rows = rows.withColumns({"top": F.max("stamp").over(place), "edited": F.max("stamp").over(place) > F.min_by("stamp", "at").over(place), **last})
+    top = rows.filter("stamp = top").withColumn("n", F.row_number().over(along))
     whole = (F.col("n") == 1) | ~F.coalesce("lossy", F.lit(False))
     top = top.filter((F.col("n") == 1) | ~F.coalesce("filtered", F.lit(False))).withColumn("base", F.max(F.when(whole, F.col("n"))).over(place)).filter("n >= base")
     form = F.regexp_replace(F.regexp_replace("html", r"[^\x00-\x7F]", ""), _ADDRESSES, "$1=")
     top = top.withColumn("form", form)
-    changed = (F.col("n") == F.col("base")) | (F.col("form") != F.lag("form").over(Window.partitionBy("post_id").orderBy("n")))
+    changed = (F.col("n") == F.col("base")) | (F.col("form") != F.lag("form").over(along))
     kept = top.withColumn("changed", changed).filter("changed").groupBy("post_id").agg(F.max_by(F.struct("html", "edited_at", F.col("last_topic_id").alias("topic_id"), F.col("last_forum_id").alias("forum_id"), "edited"), "n").alias("r"))
     return kept.select("post_id", "r.*")
 

@@ -113,3 +113,22 @@ def test_members(spark):
     got = {r["member_id"]: r for r in late.members_from(spark.createDataFrame(rows, kind), ["group_name", "location"]).collect()}
     assert (got[1]["name"], got[1]["group_name"], got[1]["location"], got[1]["signature"]) == ("Al", "Admins", "here", "from profile")
     assert (got[2]["signature"], got[2]["location"]) == ("sig", None)
+
+
+def test_only_copies_of_the_latest_edit_are_put_in_order(spark):
+    schema = "post_id long, captured_at timestamp, file string, edited_at long, html string, filtered boolean, lossy boolean, topic_id long, forum_id long"
+    found = late.kept_posts(spark.createDataFrame([(1, None, "a", None, "x", False, False, 1, 2), (1, None, "b", 3, "y", False, False, None, 4)], schema))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    first = plan[plan.rindex("Sort [") :].partition("]")[0]
+    assert "post_id" in first and "at#" not in first  # all copies by post alone
+    assert [tuple(r) for r in found.collect()] == [(1, "y", 3, 1, 4, True)]
+
+
+def test_a_batch_reads_its_part_of_the_copies_alone(spark, sf_dir, monkeypatch):
+    from palaver.plans import QUERIES
+    from palaver.plans import late as plans
+
+    by = []
+    monkeypatch.setattr(plans, "materialized", lambda df, name, *columns, materialized=plans.materialized: by.append(columns) or materialized(df, name, *columns))
+    assert QUERIES["l12_merged_posts"](spark, sf_dir).count() == spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_partkey").distinct().count()
+    assert by == [("part",)]
