@@ -56,13 +56,13 @@ def link_posts(old: DataFrame, new: DataFrame) -> DataFrame:
     def side(df: DataFrame, number: int) -> DataFrame:
         return df.select("topic_id", F.date_trunc("minute", "posted_at").alias("m"), "author", "id", F.lit(number).alias("side"))
 
-    # Both sides in one frame, dealt once by cell: counts and ranks of all three rules are windows over it.
-    rows = side(old, 0).unionByName(side(new, 1))
+    # Both sides in one frame, dealt once by cell and put in order by author: counts of all three rules are windows over it.
+    rows = side(old, 0).unionByName(side(new, 1)).repartition("topic_id", "m")
     cell, own = Window.partitionBy("topic_id", "m"), Window.partitionBy("topic_id", "m", "author")
     many = lambda c, w: [F.count_if(c & (F.col("side") == i)).over(w) for i in (0, 1)]
     always = F.lit(True)
-    (co, cn), (ao, an) = many(always, cell), many(always, own)
-    rows = rows.withColumns({"co": co, "cn": cn, "ao": ao, "an": an})
+    for names, of in ((("ao", "an"), own), (("co", "cn"), cell)):
+        rows = rows.withColumns(dict(zip(names, many(always, of), strict=True)))
     alone = (F.col("co") == 1) & (F.col("cn") == 1)
     rows = rows.withColumn("tier", F.when(alone, 1).when(F.col("author").isNotNull() & (F.col("ao") == F.col("an")), 2))
     lo, ln = many(F.col("tier").isNull(), cell)

@@ -47,6 +47,35 @@ def test_number_rows_is_a_total_order(spark):
     assert rows(upsert.number_rows(df, ["v"], "n")) == [(i, i) for i in sorted(range(1, 1001), key=repr)] or {r["v"]: r["n"] for r in upsert.number_rows(df, ["v"], "n").collect()} == {i: i for i in range(1, 1001)}
 
 
+def test_ranges_of_numbers_follow_the_rows(spark):
+    df = spark.range(3000).selectExpr("nullif(id * 7919 % 1009, 5) as v", "id")
+    many = upsert.number_rows(df, ["v", "id"], "n", most=10)
+    assert "__p" not in many.columns
+    want = sorted(((i * 7919 % 1009, i) for i in range(3000)), key=lambda r: (r[0] != 5, r))
+    assert [r["n"] for r in many.orderBy("n").collect()] == list(range(1, 3001))
+    assert [r["id"] for r in many.orderBy("n").collect()] == [i for _, i in want]
+
+
+def test_cuts_up_to_a_value(spark):
+    from bisect import bisect_right
+
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    for cuts in ([], [3], [3, 4], list(range(0, 90, 3))):
+        found = spark.range(100).select("id", upsert._cuts_up_to(F.col("id"), cuts, T.LongType()).alias("n")).collect()
+        assert [r["n"] for r in found] == [bisect_right(cuts, r["id"]) for r in found]
+
+
+def test_posts_are_linked_with_two_sorts(spark):
+    from palaver.operators.members import link_posts
+
+    schema = "id long, topic_id long, posted_at timestamp_ntz, author long"
+    found = link_posts(spark.createDataFrame([], schema), spark.createDataFrame([], schema))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(" Sort [") <= 2 and plan.count("Window [") >= 3
+
+
 def test_ids_are_stable(spark):
     found = spark.createDataFrame([("x", 5), ("y", 9), ("z", 9)], "url string, uses long")
     known = spark.createDataFrame([("x", 3)], "url string, id long")
