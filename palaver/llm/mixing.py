@@ -34,7 +34,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from palaver.llm.blocks import blocks, closed, opened, saved
+from palaver.llm.blocks import blocks, closed, opened, rows_per_batch, saved
+
+#: Texts that a Python worker holds at once.
+TEXTS = 1000
 
 PHI = 0.6180339887498949
 
@@ -130,7 +133,8 @@ def streams(sized: DataFrame, buckets: int = 4096) -> DataFrame:
 
 def mix(docs: DataFrame, weights=(1.0, 2.0, 3.0), max_epochs: int = 3, slots: int = 1 << 17) -> DataFrame:
     """doc_id, source, text_id, size, source_size, target, taken of every document."""
-    sized = saved(sizes(opened(docs, "doc_id", "text", "source")[0]), "mix-sizes")
+    with rows_per_batch(docs.sparkSession, TEXTS):
+        sized = saved(sizes(opened(docs, "doc_id", "text", "source")[0]), "mix-sizes")
     per_source = saved(targets(sized, weights, max_epochs), "mix-targets")
     total = per_source.agg(F.sum("source_size")).first()[0] or 0
     block = max(1, -(-total // slots))  # tokens in a block
