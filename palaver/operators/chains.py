@@ -17,7 +17,10 @@ from __future__ import annotations
 
 import bisect
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,47 +31,64 @@ from palaver.operators.upsert import number_rows
 PAIR, TOPS, BEST = 0, 1, 2
 _COLUMNS = "kind int, i long, j long, a long, b long, q long, length long, x array<long>, y array<long>"
 _NAMES = [c.split()[0] for c in _COLUMNS.split(", ")]
+_TYPES = {"int": pa.int32(), "long": pa.int64(), "array<long>": pa.list_(pa.int64())}
+_SCHEMA = pa.schema([(n, _TYPES[t]) for n, t in map(str.split, _COLUMNS.split(", "))])
+#: Pairs whose numbers a tile has as Python's at once.
+PIECE = 65_536
 
 
-def _carried(frame: pd.DataFrame, kind: int) -> tuple[list[int], list[int]]:
-    rows = frame[frame["kind"] == kind]
-    return (list(rows["x"].iloc[0]), list(rows["y"].iloc[0])) if len(rows) else ([], [])
-
-
-def _tile(frame: pd.DataFrame) -> pd.DataFrame:
-    """Lengths of a tile's pairs, and what the tiles behind and above it need."""
-    values, lengths = _carried(frame, TOPS)
-    places, best = _carried(frame, BEST)
-    i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
-    pairs = frame[frame["kind"] == PAIR].sort_values("q")
-    events = [(-1, lengths[-1] if lengths else 0), *zip(places, best, strict=True)]
-    found, at, below = [], 0, 0
-    for q, b in zip(pairs["q"].tolist(), pairs["b"].tolist(), strict=True):
-        while at < len(places) and places[at] <= q:
-            below, at = best[at], at + 1
-        k = bisect.bisect_left(values, b)
-        length = max(lengths[k - 1] if k else 0, below) + 1
-        end = k
-        while end < len(values) and lengths[end] <= length:
-            end += 1
-        if end > k or k == len(values) or values[k] != b:
-            values[k:end], lengths[k:end] = [b], [length]
-        found.append(length)
-        events.append((q, length))
-    steps, most = [], 0
-    for q, length in sorted(events):
+def _carried(table: pa.Table, kind: int) -> tuple[list[int], list[int]]:
+    rows = table.filter(pc.equal(table["kind"], kind)).select(["x", "y"]).slice(0, 1)
+    return (rows["x"][0].as_py(), rows["y"][0].as_py()) if len(rows) else ([], [])
+
+
+def _rows(**columns) -> pa.Table:
+    """Rows of a tile; columns that are not given are null."""
+    n = len(columns["kind"])
+    return pa.table([pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in zip(_SCHEMA.names, _SCHEMA.types, strict=True)], schema=_SCHEMA)
+
+
+def _tile(table: pa.Table) -> pa.Table:
+    """Lengths of a tile's pairs, and what the tiles behind and above it need.
+
+    Pairs stay in Arrow's columns; of Python's numbers there are those of the tops,
+    of the best lengths and of ``PIECE`` pairs at once.
+    """
+    values, lengths = _carried(table, TOPS)
+    places, best = _carried(table, BEST)
+    i, j = table["i"][0].as_py(), table["j"][0].as_py()
+    pairs = table.filter(pc.equal(table["kind"], PAIR)).select(["a", "b", "q"]).sort_by("q")
+    found, at, below = np.zeros(len(pairs), dtype=np.int64), 0, 0
+    steps, rises, most = [], [], 0
+
+    def risen(q: int, length: int) -> None:
+        nonlocal most
         if length > most:
-            steps.append((q, length))
+            steps.append(q)
+            rises.append(length)
             most = length
-    out = pairs.assign(length=found, x=None, y=None)[_NAMES]
-    states = pd.DataFrame(
-        [(TOPS, i, j, None, None, None, None, values, lengths), (BEST, i, j, None, None, None, None, [q for q, _ in steps], [s for _, s in steps])],
-        columns=_NAMES,
-    )
-    out = pd.concat([out, states], ignore_index=True) if len(out) else states
-    for c in ("a", "b", "q", "length"):
-        out[c] = out[c].astype("Int64")
-    return out
+
+    risen(-1, lengths[-1] if lengths else 0)
+    for start in range(0, len(pairs), PIECE):
+        piece = pairs.slice(start, PIECE)
+        for n, (q, b) in enumerate(zip(piece["q"].to_pylist(), piece["b"].to_pylist(), strict=True), start):
+            while at < len(places) and places[at] <= q:
+                risen(places[at], best[at])
+                below, at = best[at], at + 1
+            k = bisect.bisect_left(values, b)
+            length = max(lengths[k - 1] if k else 0, below) + 1
+            end = k
+            while end < len(values) and lengths[end] <= length:
+                end += 1
+            if end > k or k == len(values) or values[k] != b:
+                values[k:end], lengths[k:end] = [b], [length]
+            found[n] = length
+            risen(q, length)
+    for q, length in zip(places[at:], best[at:], strict=True):
+        risen(q, length)
+    same = lambda x: np.full(len(pairs), x)
+    out = _rows(kind=same(PAIR), i=same(i), j=same(j), a=pairs["a"].combine_chunks(), b=pairs["b"].combine_chunks(), q=pairs["q"].combine_chunks(), length=found)
+    return pa.concat_tables([out, _rows(kind=[TOPS, BEST], i=[i, i], j=[j, j], x=[values, steps], y=[lengths, rises])])
 
 
 def chain_lengths(pairs: DataFrame, block: int) -> tuple[DataFrame, int]:
@@ -89,7 +109,7 @@ def chain_lengths(pairs: DataFrame, block: int) -> tuple[DataFrame, int]:
             tops = state.filter(F.col("kind") == TOPS).withColumn("i", F.col("i") + 1).filter(F.col("i") <= size["i"])
             best = state.filter(F.col("kind") == BEST).withColumn("j", F.col("j") + 1).filter(F.col("j") <= size["j"])
             tiles = tiles.unionByName(tops).unionByName(best)
-        state = materialized(tiles.groupBy("i").applyInPandas(_tile, _COLUMNS), "chain-diagonal")
+        state = materialized(tiles.groupBy("i").applyInArrow(_tile, _COLUMNS), "chain-diagonal")
         lengths.append(state.filter(F.col("kind") == PAIR).select("i", "q", "a", "b", "length"))
     found = lengths[0]
     for more in lengths[1:]:
