@@ -21,3 +21,12 @@ def test_small_sources_reach_their_own_targets(spark):
     assert all(abs(taken[s] - target[s]) <= 1 for s in target)
     times = Counter(r["source"] for r in mixing.mixed_documents(docs, slots=64).collect())
     assert (times["small"], times["tiny"], times[None]) == (12, 3, 3)
+
+
+def test_texts_go_to_workers_a_thousand_at_a_time(spark, monkeypatch):
+    """Sizes are counted while Arrow batches are small, and the setting is as before afterwards."""
+    key, seen, real = "spark.sql.execution.arrow.maxRecordsPerBatch", {}, mixing.saved
+    before = spark.conf.get(key)
+    monkeypatch.setattr(mixing, "saved", lambda df, name: seen.update({name: spark.conf.get(key)}) or real(df, name))
+    mixing.mix(spark.createDataFrame([(1, "a b", "x")], "doc_id long, text string, source string"))
+    assert seen["mix-sizes"] == "1000" and spark.conf.get(key) == before
