@@ -243,3 +243,25 @@ def test_backoff_by_brute_force(spark, docs):
         got = sorted((str(r["doc_id"]), r["n_words"], r["score"]) for r in backoff.scores(docs, order).collect())
         for a, b in zip(got, sorted(want), strict=True):
             assert a[:2] == b[:2] and math.isclose(a[2], b[2], rel_tol=1e-6, abs_tol=1e-5 * (1 + a[1]))
+
+
+def test_backoff_is_the_same_in_many_chunks(spark, docs, monkeypatch):
+    want = plain(backoff.scores(docs).collect())
+    for name, n in {"CHUNK": 4_000, "PART": 1_500, "PACK": 2_000}.items():
+        monkeypatch.setattr(backoff, name, n)
+    assert plain(backoff.scores(docs).collect()) == want
+
+
+def test_backoff_moves_few_bytes_an_ngram(spark):
+    rng = random.Random(9)
+    n_docs, n_words = 300, 300
+    texts = spark.createDataFrame([(i, text_of(rng, n_words)) for i in range(n_docs)], "doc_id long, text string").coalesce(1)
+    status, bus = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._jsc.sc().listenerBus()
+
+    def written():
+        bus.waitUntilEmpty(30_000)
+        return status.executorList(True).head().totalShuffleWrite()
+
+    before = written()
+    backoff.scores(texts).write.format("noop").mode("overwrite").save()
+    assert written() - before < 12 * n_docs * (3 * n_words - 3)
