@@ -177,6 +177,44 @@ def test_quotes_link_as_by_hand(spark, seed):
     assert quotes.link_quotes(none, own, known).count() == 0
 
 
+def common_texts(seed, n):
+    """Texts of 150 words of a few, so that all share trigrams."""
+    rng = random.Random(seed)
+    return [" ".join(rng.choice(["ant", "bee", "cow", "dog", "elk", "fox"]) for _ in range(150)) for _ in range(n)]
+
+
+def test_likely_candidates_are_the_first_of_all(spark):
+    texts = common_texts(5, 60)
+    posts = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    bodies = [(f"q{i}", " ".join(t.split()[: (4, 30, 150)[i % 3]])) for i, t in enumerate(texts[:30])]
+    wanted = quotes.wanted_trigrams(spark.createDataFrame(bodies, "quote_id string, body string"))
+    posted = quotes.postings(posts, wanted, F.col("text"))
+    held = posted.groupBy("post_id").agg(F.collect_list("s").alias("held"))
+    every = spark.createDataFrame([(f"q{i}",) for i in range(0, 30, 4)], "quote_id string")
+    asked = quotes.asked_trigrams(wanted, posted)
+    got = {tuple(r) for r in quotes.likely_candidates(asked, posted, held, every, 50).collect()}
+    plain = defaultdict(list)
+    for r in quotes.text_hits(wanted, posted).collect():
+        plain[r["quote_id"]].append((-r["hits"], r["post_id"], r["usable"]))
+    want = {(q, p) for q, hits in plain.items() for h, p, u in sorted(hits)[:50] if -h >= u / 2 or int(q[1:]) % 4 == 0}
+    assert got == want and len(want) < sum(len(hits[:50]) for hits in plain.values())
+    assert {r["quote_id"]: r["usable"] for r in asked.collect()} == {q: hits[0][2] for q, hits in plain.items()}
+
+
+def test_no_rows_for_posts_that_share_a_few_trigrams(spark, monkeypatch):
+    texts, sizes = common_texts(6, 200), []
+    at = dt.datetime(2005, 1, 1)
+    rows = [(i, i % 50, i, at + dt.timedelta(hours=i), t) for i, t in enumerate(texts)]
+    rows += [(1000 + i, i % 50, 500, at + dt.timedelta(days=400), f'[quote="user {i}"]{t}[/quote] yes') for i, t in enumerate(texts)]
+    rows = spark.createDataFrame(rows, "id long, topic_id long, user_id long, posted_at timestamp_ntz, source string")
+    written = quotes.materialized
+    monkeypatch.setattr(quotes, "materialized", lambda df, name, *by: sizes.append((out := written(df, name, *by)).count()) or out)
+    known = spark.createDataFrame([(i, f"user {i}") for i in range(200)], "user_id long, key string")
+    out = quotes.link_quotes(brackets.quotes_of(rows), rows.withColumn("text", markup.own_text("source")).drop("source"), known).collect()
+    assert [r["quoted_post_id"] for r in sorted(out, key=lambda r: r["post_id"])] == list(range(200))
+    assert max(sizes) < 200 * 150  # pairs of quotes and posts are 40,000
+
+
 def test_names_by_prefix_and_likeness(spark):
     rng = random.Random(5)
     known = ["customer" + "".join(rng.choice("ab") for _ in range(rng.randint(1, 6))) for _ in range(60)] + ["al", "al", "bob", "bobby", "kristina"]
