@@ -16,7 +16,8 @@ over n-grams of what knowing each adds to its suffix's ln S:
 
     score(doc) = n_words * ln(ALPHA ** order / N) + sum of n(doc, gram) * weight(gram)
 
-1. Documents are dealt to chunks of about ``CHUNK`` words, as compressed packs.
+1. Documents are compressed to packs, of which ``CHUNK`` that follow each other are
+   a chunk: neighbours share more n-grams than texts from anywhere.
 2. A chunk is exploded to its n-grams.  Each distinct one moves once, to the part
    of the count table that its hash falls in.  Hashes move in order, so that only
    the steps between them need bits (five bytes and a half, not eight).
@@ -48,12 +49,12 @@ from palaver.llm.blocks import SPACE, Block, blocks, mix, opened, release
 
 ORDER = 3
 ALPHA = 0.4
-#: Words of a chunk and of a part of the count table, about; bytes of a pack.
-CHUNK, PART, PACK = 2_000_000, 1_000_000, 1 << 19
+#: Packs of a chunk, bytes of a pack, words of a part of the count table, about.
+CHUNK, PACK, PART = 26, 1 << 19, 1_000_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _UNIT = 1_000_000
-_REQUESTS = "chunk int, part int, n int, grams binary, counts binary"
-_ANSWERS = "chunk int, part int, n int, sum long, known binary, counts binary"
+_REQUESTS = "chunk long, part int, n int, grams binary, counts binary"
+_ANSWERS = "chunk long, part int, n int, sum long, known binary, counts binary"
 
 
 def exploded(b: Block, order: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
@@ -147,11 +148,11 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([ids, pa.array([texts]), pa.array([ends])], names=["ids", "texts", "ends"])
 
 
-def packs(docs: DataFrame, chunks: int) -> DataFrame:
-    """chunk, ids, texts, ends: the rows of ``docs`` (doc_id, text), dealt to chunks."""
+def packs(docs: DataFrame, deals: int) -> DataFrame:
+    """chunk, ids, texts, ends: the rows of ``docs`` (doc_id, text) in packs, dealt by chunk."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(chunks)).cast("int")
-    return docs.mapInArrow(_packed, f"ids array<{kind}>, texts binary, ends binary").withColumn("chunk", dealt).repartition(2 * chunks, "chunk")
+    chunk = F.floor(F.monotonically_increasing_id() / CHUNK)
+    return docs.mapInArrow(_packed, f"ids array<{kind}>, texts binary, ends binary").withColumn("chunk", chunk).repartition(deals, "chunk")
 
 
 def counts(packed: DataFrame, order: int, parts: int) -> DataFrame:
@@ -166,7 +167,7 @@ def counts(packed: DataFrame, order: int, parts: int) -> DataFrame:
             if len(grams):
                 rows.append((table["chunk"][0].as_py(), p, len(grams), planes(np.diff(grams, prepend=low[p])), planes(2 * (n - 1) + many)))
         release()
-        return _table(rows, ("chunk", pa.int32()), ("part", pa.int32()), ("n", pa.int32()), ("grams", pa.binary()), ("counts", pa.binary()))
+        return _table(rows, ("chunk", pa.int64()), ("part", pa.int32()), ("n", pa.int32()), ("grams", pa.binary()), ("counts", pa.binary()))
 
     def answered(table: pa.Table) -> pa.Table:
         low, asking = _bounds(parts), table.to_pylist()
@@ -180,7 +181,7 @@ def counts(packed: DataFrame, order: int, parts: int) -> DataFrame:
             count = n[np.searchsorted(distinct, own)]
             rows.append((r["chunk"], r["part"], len(own), _sum(own), np.packbits(count > 0).tobytes(), planes(count[count > 0])))
         release()
-        return _table(rows, ("chunk", pa.int32()), ("part", pa.int32()), ("n", pa.int32()), ("sum", pa.int64()), ("known", pa.binary()), ("counts", pa.binary()))
+        return _table(rows, ("chunk", pa.int64()), ("part", pa.int32()), ("n", pa.int32()), ("sum", pa.int64()), ("known", pa.binary()), ("counts", pa.binary()))
 
     return packed.groupBy("chunk").applyInArrow(asked, _REQUESTS).repartition(parts, "part").groupBy("part").applyInArrow(answered, _ANSWERS)
 
@@ -266,9 +267,9 @@ def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     docs, _ = opened(docs, "doc_id", "text")
     docs = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     total = docs.select("text").mapInArrow(_words, "n long").agg(F.sum("n")).first()[0] or 0  # one number
-    chunks, parts = max(1, math.ceil(total / CHUNK)), max(1, math.ceil(total / PART))
-    packed = packs(docs, chunks)
-    answers = counts(packed, order, parts).repartition(2 * chunks, "chunk")
+    parts = max(1, math.ceil(total / PART))
+    packed = packs(docs, parts)
+    answers = counts(packed, order, parts).repartition(parts, "chunk")
     rows = summed(packed, answers, order, parts, total)
     floor = order * F.ln(F.lit(ALPHA)) - F.ln(F.lit(float(max(total, 1))))
     millionths = F.col("n_words") * F.floor(floor * _UNIT + 0.5) + F.col("sum")

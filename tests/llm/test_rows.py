@@ -247,7 +247,7 @@ def test_backoff_by_brute_force(spark, docs):
 
 def test_backoff_is_the_same_in_many_chunks(spark, docs, monkeypatch):
     want = plain(backoff.scores(docs).collect())
-    for name, n in {"CHUNK": 4_000, "PART": 1_500, "PACK": 2_000}.items():
+    for name, n in {"CHUNK": 3, "PACK": 2_000, "PART": 1_500}.items():
         monkeypatch.setattr(backoff, name, n)
     assert plain(backoff.scores(docs).collect()) == want
 
